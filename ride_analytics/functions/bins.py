@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ride_analytics.sources.small import small_table
+
 INF = float("inf")
 
 
@@ -46,8 +48,7 @@ class BinSpec:
 
     def table(self, spark: SparkSession, label: str = "bin", ordinal: str = "bin_order") -> DataFrame:
         """One row per range: the side that keeps empty ranges in a left join."""
-        return spark.createDataFrame(list(zip(self.labels, range(len(self.labels)))),
-                                     f"`{label}` string, `{ordinal}` int")
+        return small_table(spark, zip(self.labels, range(len(self.labels))), f"`{label}` string, `{ordinal}` int")
 
 
 # --- fixed values: ranges used by the reports ---------------------------------

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ride_analytics.sources.small import small_table
+
 
 def histogram(df: DataFrame, value: str, bins: int = 80) -> DataFrame:
     """Equal-width bins from minimum to maximum, the last one closed; no empty bins."""
@@ -33,7 +35,7 @@ def density_curve(df: DataFrame, value: str, grid: int = 200, cells_per_bandwidt
     v = F.col(f"`{value}`").cast("double")
     shape = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n"), F.stddev_samp(v).alias("s")).first()
     if not shape["n"] or not shape["s"]:
-        return df.sparkSession.createDataFrame([], "point int, x double, density double")
+        return small_table(df.sparkSession, [], "point int, x double, density double")
     lo, hi, n, s = shape["lo"], shape["hi"], shape["n"], shape["s"]
     h = s * n ** -0.2
     cell = h / cells_per_bandwidth

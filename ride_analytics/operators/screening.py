@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ride_analytics.functions.columns import display_name
 from ride_analytics.operators.ordering import smallest_prefix
 from ride_analytics.operators.sampling import sample_rows
+from ride_analytics.sources.small import small_table
 from ride_analytics.sources.trips import existing_columns
 
 
@@ -73,7 +74,7 @@ def component_shares(df: DataFrame, features: Sequence[str], threshold: float =
     model = model or fit_components(df, features)
     shares = [float(s) for s in model.stages[-1].explainedVariance.toArray()]
     rows = [(i + 1, s) for i, s in enumerate(shares)]
-    table = df.sparkSession.createDataFrame(rows, "component int, variance_share double")
+    table = small_table(df.sparkSession, rows, "component int, variance_share double")
     return smallest_prefix(table, "variance_share", threshold, tie="component").drop("rank")
 
 
@@ -81,7 +82,7 @@ def component_loadings(df: DataFrame, features: Sequence[str], model=None) -> Da
     model = model or fit_components(df, features)
     matrix = model.stages[-1].pc.toArray()
     rows = [(f, j + 1, float(matrix[i, j])) for i, f in enumerate(features) for j in range(matrix.shape[1])]
-    return df.sparkSession.createDataFrame(rows, "feature string, component int, loading double")
+    return small_table(df.sparkSession, rows, "feature string, component int, loading double")
 
 
 def component_scores(df: DataFrame, features: Sequence[str], n: int = 500, key: str = "row_key", model=None) -> DataFrame:

@@ -54,8 +54,9 @@ def star_trips(spark: SparkSession, folder: str) -> DataFrame:
          .otherwise(3.0).alias("RatecodeID"),
         F.col("c_nationkey").cast("int").alias("PULocationID"),
         F.col("s_nationkey").cast("int").alias("DOLocationID"),
-        F.round(F.col("l_extendedprice") / 2000, 2).alias("fare_amount"),
-        F.round(F.col("l_discount") - 0.01, 2).alias("extra"),
+        # whole cents, halves up; round() on doubles differs between engines
+        (F.floor(F.col("l_extendedprice") / 20 + 0.5) / 100).alias("fare_amount"),
+        (F.floor(F.col("l_discount") * 100 - 0.5) / 100).alias("extra"),
         F.col("l_tax").cast("double").alias("mta_tax"),
         F.lit(1.0).alias("improvement_surcharge"),
         F.lit(2.5).alias("congestion_surcharge"),

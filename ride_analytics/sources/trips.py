@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ride_analytics.config import Config
+from ride_analytics.sources.small import small_table
 
 TRIP_TYPES = {
     "VendorID": T.IntegerType(),
@@ -105,7 +106,7 @@ def load_zones(spark: SparkSession, path: str) -> DataFrame:
 
 def holiday_table(spark: SparkSession, dates: Iterable[tuple]) -> DataFrame:
     """Date dimension from ``(date, name)`` pairs."""
-    return spark.createDataFrame(list(dates), HOLIDAY_SCHEMA)
+    return small_table(spark, dates, HOLIDAY_SCHEMA)
 
 
 def load_holidays(spark: SparkSession, path: str) -> DataFrame:
