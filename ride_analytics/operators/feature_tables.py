@@ -144,14 +144,12 @@ def apply_feature_tables(df: DataFrame, tables: FeatureTables) -> DataFrame:
 def out_of_fold_zone_fares(train: DataFrame, key: str, name: str, fold: str = "fold") -> DataFrame:
     """Mean fare of the zone over the *other* folds, so that no row meets its own
     fare; without another fold's trips, the mean of all other folds."""
-    per = train.groupBy(key, fold).agg(F.sum("fare_amount").alias("_s"), F.count("fare_amount").alias("_n"))
-    whole = per.groupBy(key).agg(F.sum("_s").alias("_S"), F.sum("_n").alias("_N"))
-    all_folds = per.groupBy(fold).agg(F.sum("_s").alias("_fs"), F.sum("_n").alias("_fn"))
-    totals = per.agg(F.sum("_s").alias("s"), F.sum("_n").alias("n"))
-    others = all_folds.select(fold, F.try_divide(totals.select("s").scalar() - F.col("_fs"),
-                                                 totals.select("n").scalar() - F.col("_fn")).alias("_rest"))
-    table = cut(per.join(whole, key).join(others, fold)
-                   .select(key, fold, F.coalesce(F.try_divide(F.col("_S") - F.col("_s"), F.col("_N") - F.col("_n")),
-                                                 F.col("_rest")).alias(name)))
+    per = train.groupBy(key, fold).agg(F.sum("fare_amount").alias("_sum"), F.count("fare_amount").alias("_num"))
+    zone = per.groupBy(key).agg(F.sum("_sum").alias("_zone_sum"), F.sum("_num").alias("_zone_num"))
+    whole = per.agg(F.sum("_sum").alias("s"), F.sum("_num").alias("n"))
+    rest = per.groupBy(fold).agg(
+        F.try_divide(whole.select("s").scalar() - F.sum("_sum"), whole.select("n").scalar() - F.sum("_num")).alias("_rest"))
+    own = F.try_divide(F.col("_zone_sum") - F.col("_sum"), F.col("_zone_num") - F.col("_num"))
+    table = cut(per.join(zone, key).join(rest, fold).select(key, fold, F.coalesce(own, F.col("_rest")).alias(name)))
     return train.join(bounded(table), [key, fold], "left")
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ride_analytics.operators.quantiles import grouped_quantiles
-from ride_analytics.operators.sampling import first_n_by_hash, hash_number
+from ride_analytics.operators.sampling import first_n_by_hash
 from ride_analytics.sources.storage import cut
 
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, path double"
@@ -64,8 +64,7 @@ def draw_samples(df: DataFrame, cols: list[str], key: str, trees: int, size: int
     pool = cut(first_n_by_hash(df.select(key, *[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).na.drop(),
                                trees * size, key=key, salt=f"forest{seed}"))
     spread = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    order = Window.partitionBy("tree").orderBy(
-        hash_number(F.concat_ws("-", "tree", key), f"forest{seed}"), key)
+    order = Window.partitionBy("tree").orderBy(F.xxhash64("tree", key, F.lit(seed)), key)
     return spread.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= size).drop("_r", key)
 
 

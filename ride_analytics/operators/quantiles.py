@@ -124,7 +124,7 @@ def box_statistics(df: DataFrame, keys: Sequence[str], value: str, small_rows: i
                         F.least("_lo", "q1").alias("whisker_low"), F.greatest("_hi", "q3").alias("whisker_high"))
 
 
-def describe(df: DataFrame, values: Sequence[str], digits: int = 2, approx: bool = False) -> DataFrame:
+def describe(df: DataFrame, values: Sequence[str], digits: int | None = 2, approx: bool = False) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum, one row per column."""
     rows = None
     for c in values:
@@ -135,5 +135,7 @@ def describe(df: DataFrame, values: Sequence[str], digits: int = 2, approx: bool
                               {"q25": 0.25, "q50": 0.5, "q75": 0.75}, approx=approx)
         one = basic.join(q, "column", "left")
         rows = one if rows is None else rows.unionByName(one)
+    if digits is None:
+        return rows
     return rows.select("column", "count", *[F.round(c, digits).alias(c)
                                             for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
@@ -17,17 +19,18 @@ def cluster_zones(profile: DataFrame, k: int = 15, restarts: int = 10, seed: int
     zones = profile.count()
     if zones == 0:
         return profile.withColumn("pickup_cluster", F.lit(-1))
-    data = VectorAssembler(inputCols=["mean_fare", "mean_distance"], outputCol="_xy").transform(profile).coalesce(1)
-    best = None
-    for r in range(max(1, restarts)):
-        model = KMeans(k=max(2, min(k, zones)), seed=seed + r, featuresCol="_xy", predictionCol="_c").fit(data) \
-            if zones > 1 else None
-        if model is None:
-            return profile.withColumn("pickup_cluster", F.lit(0))
-        cost = model.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, model)
-    centres = best[1].clusterCenters()
+    if zones == 1:
+        return profile.withColumn("pickup_cluster", F.lit(0))
+    data = VectorAssembler(inputCols=["mean_fare", "mean_distance"], outputCol="_xy").transform(profile).coalesce(1).persist()
+
+    def fit(r: int):
+        model = KMeans(k=min(k, zones), seed=seed + r, featuresCol="_xy", predictionCol="_c").fit(data)
+        return model.summary.trainingCost, r, model
+
+    with ThreadPoolExecutor(max_workers=4) as pool:      # many tiny jobs, run side by side
+        _, _, best = min(pool.map(fit, range(max(1, restarts))), key=lambda t: t[:2])
+    data.unpersist()
+    centres = best.clusterCenters()
     rank = {old: new for new, old in enumerate(sorted(range(len(centres)), key=lambda i: tuple(centres[i])))}
     names = F.element_at(F.array(*[F.lit(rank[i]) for i in range(len(centres))]), F.col("_c") + 1)
-    return best[1].transform(data).withColumn("pickup_cluster", names).drop("_xy", "_c")
+    return best.transform(data).withColumn("pickup_cluster", names).drop("_xy", "_c")

@@ -27,7 +27,7 @@ def later_period(trips: DataFrame, zones: DataFrame, holidays: DataFrame, tables
 def drift_test(later: DataFrame, models: dict[str, PipelineModel], baseline: DataFrame, cfg: Config) -> dict:
     """Metrics against the baseline run (long form), and per model the density of
     predictions, the residual trend and the error by hour and weekday."""
-    new = to_long(written(evaluate(models, later, cfg).withColumnRenamed("R²", "R2"), "drift-metrics").withColumnRenamed("R2", "R²"))
+    new = to_long(written(evaluate(models, later, cfg), "drift-metrics"))
     out = {"comparison": compare_runs(new, baseline)}
     for name, model in models.items():
         scored = written(model.transform(later).select(*later.columns, "prediction"), "later-scored")

@@ -40,7 +40,7 @@ def train_and_evaluate(data: Prepared, cfg: Config, root: str, run: str = "basel
         spark, root, "boosted_trees",
         lambda: tuning.tune_boosting(estimators.boosted_trees(cfg), boost_grid, data.train, cfg, **boost))
     fitted = {"Random Forest": forest, "Boosted Trees": boosted}
-    metrics = written(evaluate(fitted, data.test, cfg).withColumnRenamed("R²", "R2"), "metrics").withColumnRenamed("R2", "R²")
+    metrics = written(evaluate(fitted, data.test, cfg), "metrics")
     append_metrics(to_long(metrics), f"{root}/metrics", run)
     return {"quick_comparison": shoot_out, "metrics": metrics,
             "params": {"Random Forest": forest_params, "Boosted Trees": boost_params}}, fitted

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scans", "aggregates", "expressions")
+MODULES = ("scans", "aggregates", "expressions", "errors", "learned")
 
 
 def load_all():

@@ -129,20 +129,20 @@ def _(spark, sf):
 
 
 def _describe_sql(column, value):
-    return f"""SELECT '{column}' AS "column", count({value}) AS "count", round(avg({value}), 2) AS mean,
-      round(stddev_samp({value}), 2) AS std, round(min({value}), 2) AS min, round(quantile_cont({value}, 0.25), 2) AS q25,
-      round(quantile_cont({value}, 0.5), 2) AS q50, round(quantile_cont({value}, 0.75), 2) AS q75,
-      round(max({value}), 2) AS max FROM city"""
+    return f"""SELECT '{column}' AS "column", count({value}) AS "count", avg({value}) AS mean,
+      stddev_samp({value}) AS std, min({value}) AS min, quantile_cont({value}, 0.25) AS q25,
+      quantile_cont({value}, 0.5) AS q50, quantile_cont({value}, 0.75) AS q75, max({value}) AS max FROM city"""
 
 
 _MINUTES = "(date_diff('microsecond', tpep_pickup_datetime, tpep_dropoff_datetime) / CAST(6e7 AS DOUBLE))"
 
 
 @query("describe_fare_and_duration", sql(_describe_sql("fare_amount", "fare_amount") + " UNION ALL "
-                                         + _describe_sql("trip_duration_min", _MINUTES)))
+                                         + _describe_sql("trip_duration_min", _MINUTES),
+                                         doubles=["mean", "std", "min", "q25", "q50", "q75", "max"], digits=4))
 def _(spark, sf):
     df = city(spark, sf).withColumn("trip_duration_min", X.duration_minutes("tpep_pickup_datetime", "tpep_dropoff_datetime"))
-    return Q.describe(df, ["fare_amount", "trip_duration_min"])
+    return rounded(Q.describe(df, ["fare_amount", "trip_duration_min"], digits=None), 4)
 
 
 @query("value_range_and_view_cap", sql("""SELECT min(least(fare_amount, prediction)) AS low,

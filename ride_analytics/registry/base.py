@@ -27,11 +27,16 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# Where a value is cut between two last digits. Halfway would be 0.5, but means
+# of cents often lie exactly there, and the last bits of a sum depend on order.
+OFFSET = 0.3711
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles to a fixed number of digits: sums differ in the last bits by order.
-    Adding zero turns -0.0 into 0.0."""
-    return df.select(*[(F.round(F.col(f"`{n}`"), digits) + F.lit(0.0)).alias(n) if t == "double" else F.col(f"`{n}`")
-                       for n, t in df.dtypes])
+    """Doubles to a fixed number of digits, in arithmetic that every engine does alike."""
+    scale = F.lit(float(10 ** digits))
+    return df.select(*[(F.floor(F.col(f"`{n}`") * scale + F.lit(OFFSET)) / scale).alias(n) if t == "double"
+                       else F.col(f"`{n}`") for n, t in df.dtypes])
 
 
 # --- DataFrame inputs -----------------------------------------------------------
@@ -133,7 +138,7 @@ def sql(body: str, *more: str, doubles: tuple | list = (), digits: int = 6) -> s
     ``doubles`` the result columns to round."""
     text = body
     if doubles:
-        swaps = ", ".join(f'round("{c}", {digits}) + CAST(0.0 AS DOUBLE) AS "{c}"' for c in doubles)
+        swaps = ", ".join(f'floor("{c}" * CAST(1e{digits} AS DOUBLE) + CAST({OFFSET} AS DOUBLE)) / CAST(1e{digits} AS DOUBLE) AS "{c}"' for c in doubles)
         text = f"SELECT * REPLACE ({swaps}) FROM ({body}) AS q"
     return "WITH " + ",\n".join([c for _, c in _CHAIN] + list(more)) + "\n" + text
 
