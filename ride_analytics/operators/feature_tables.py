@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ride_analytics.config import Config
 from ride_analytics.functions import columns as X
 from ride_analytics.operators.joins import bounded
-from ride_analytics.operators.quantiles import grouped_median
+from ride_analytics.operators.quantiles import grouped_median, small_enough
 from ride_analytics.operators.zone_clusters import cluster_zones
 from ride_analytics.sources.storage import cut, fresh_path, written
 
@@ -23,28 +23,43 @@ def with_speed(df: DataFrame) -> DataFrame:
     return df.withColumn("speed_mph", X.speed_mph(F.col("trip_distance"), hours))
 
 
-def _stats_with_median(df: DataFrame, keys: list[str], median: str, count: str | None, approx: bool) -> DataFrame:
-    """Groups with only null speeds stay, with count 0 and a null median."""
-    n = F.count("speed_mph")
-    base = df.groupBy(*keys).agg(n.alias(count or "_n"))
-    med = grouped_median(df, keys, "speed_mph", median, approx=approx)
-    out = base.join(med, keys, "left")
-    return out if count else out.drop("_n")
+def speed_counts(df: DataFrame) -> DataFrame:
+    """Trips as counts and sums per route, hour and speed: the one pass over the
+    trips from which all tables below follow."""
+    return cut(with_speed(df).groupBy(*ROUTE, "speed_mph").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("fare_amount").alias("fare"), F.sum("trip_distance").alias("miles")))
+
+
+def _speed_medians(counts: DataFrame, keys: list[str], median: str, approx_from: DataFrame | None = None) -> DataFrame:
+    """Groups with only null speeds stay, with a null median."""
+    if approx_from is not None:
+        med = grouped_median(with_speed(approx_from), keys, "speed_mph", median, approx=True)
+    elif small_enough(counts):
+        # Checked bound: a group holds no more distinct speeds than the table.
+        exact = F.percentile("speed_mph", F.lit(0.5), F.when(F.col("speed_mph").isNotNull(), F.col("n")).otherwise(0))
+        return counts.groupBy(*keys).agg(exact.alias(median))
+    else:
+        med = grouped_median(counts, keys, "speed_mph", median, weight="n")
+    return counts.select(*keys).distinct().join(med, keys, "left") if keys else med
 
 
-def route_stats(df: DataFrame, approx: bool = False) -> DataFrame:
+def route_stats(df: DataFrame, approx: bool = False, counts: DataFrame | None = None) -> DataFrame:
     """Median speed and number of speeds per pickup, dropoff and hour."""
-    return (_stats_with_median(with_speed(df), ROUTE, "route_avg_speed", "route_popularity", approx)
-            .select(*ROUTE, "route_avg_speed", "route_popularity"))
+    counts = speed_counts(df) if counts is None else counts
+    speeds = F.sum(F.when(F.col("speed_mph").isNotNull(), F.col("n")).otherwise(0))
+    popular = counts.groupBy(*ROUTE).agg(speeds.alias("route_popularity"))
+    return (popular.join(_speed_medians(counts, ROUTE, "route_avg_speed", df if approx else None), ROUTE, "left")
+                   .select(*ROUTE, "route_avg_speed", "route_popularity"))
 
 
-def zone_hour_speed(df: DataFrame, approx: bool = False) -> DataFrame:
-    return (_stats_with_median(with_speed(df), ZONE_HOUR, "zone_hour_speed", None, approx)
-            .select(*ZONE_HOUR, "zone_hour_speed"))
+def zone_hour_speed(df: DataFrame, approx: bool = False, counts: DataFrame | None = None) -> DataFrame:
+    counts = speed_counts(df) if counts is None else counts
+    return _speed_medians(counts, ZONE_HOUR, "zone_hour_speed", df if approx else None)
 
 
-def global_speed(df: DataFrame, approx: bool = False) -> DataFrame:
-    return grouped_median(with_speed(df), [], "speed_mph", "median_speed", approx=approx)
+def global_speed(df: DataFrame, approx: bool = False, counts: DataFrame | None = None) -> DataFrame:
+    counts = speed_counts(df) if counts is None else counts
+    return _speed_medians(counts, [], "median_speed", df if approx else None)
 
 
 @dataclass
@@ -68,43 +83,34 @@ class FeatureTables:
         return cls(**{f.name: spark.read.parquet(f"{root}/{f.name}") for f in fields(cls)})
 
 
-def fit_feature_tables(train: DataFrame, cfg: Config = Config(), root: str | None = None) -> FeatureTables:
-    """One pass over the trips, then only aggregates of aggregates.
+def learn_tables(train: DataFrame, cfg: Config = Config()) -> dict[str, DataFrame]:
+    """All tables but the clusters, from one pass over the trips. Zone means come
+    from the sums per route, medians from the counts per speed."""
+    counts = speed_counts(train)
+    sums = cut(counts.groupBy(*ROUTE).agg(F.sum("n").alias("n"), F.sum("fare").alias("fare"), F.sum("miles").alias("miles")))
+
+    def mean(total, name):
+        return (F.sum(total) / F.sum("n")).alias(name)
 
-    The trips are reduced to counts and sums per route, hour and speed; zone
-    means, route counts and all medians follow from that table.
-    """
+    overall = global_speed(train, cfg.approx_medians, counts).select("median_speed").scalar()
+    return {
+        "pu_fare": sums.groupBy("PULocationID").agg(mean("fare", "PU_fare_avg")),
+        "do_fare": sums.groupBy("DOLocationID").agg(mean("fare", "DO_fare_avg")),
+        "profile": sums.groupBy("PULocationID").agg(mean("fare", "mean_fare"), mean("miles", "mean_distance")),
+        "route_stats": route_stats(train, cfg.approx_medians, counts),
+        "zone_hour_speed": zone_hour_speed(train, cfg.approx_medians, counts),
+        "globals": sums.agg(mean("fare", "mean_fare")).select("mean_fare", overall.alias("median_speed")),
+    }
+
+
+def fit_feature_tables(train: DataFrame, cfg: Config = Config(), root: str | None = None) -> FeatureTables:
+    """Learn all tables and write them under ``root``."""
     spark = train.sparkSession
     root = root or fresh_path(spark, "feature-tables")
-    base = cut(with_speed(train).groupBy(*ROUTE, "speed_mph").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("fare_amount").alias("fare"), F.sum("trip_distance").alias("miles")))
-    speeds = F.sum(F.when(F.col("speed_mph").isNotNull(), F.col("n")).otherwise(0))
-    routes = cut(base.groupBy(*ROUTE).agg(F.sum("n").alias("n"), F.sum("fare").alias("fare"),
-                                          F.sum("miles").alias("miles"), speeds.alias("route_popularity")))
-
-    def zone_mean(key, name):
-        return routes.groupBy(key).agg((F.sum("fare") / F.sum("n")).alias(name))
-
-    def median(keys, name):
-        if cfg.approx_medians:
-            return grouped_median(with_speed(train), keys, "speed_mph", name, approx=True)
-        return grouped_median(base, keys, "speed_mph", name, weight="n")
-
-    profile = written(routes.groupBy("PULocationID").agg(
-        (F.sum("fare") / F.sum("n")).alias("mean_fare"),
-        (F.sum("miles") / F.sum("n")).alias("mean_distance")), "zone-profile")
-    tables = FeatureTables(
-        pu_fare=zone_mean("PULocationID", "PU_fare_avg"),
-        do_fare=zone_mean("DOLocationID", "DO_fare_avg"),
-        zone_cluster=cluster_zones(profile, cfg.zone_clusters, cfg.cluster_restarts, cfg.seed),
-        route_stats=routes.join(median(ROUTE, "route_avg_speed"), ROUTE, "left")
-                          .select(*ROUTE, "route_avg_speed", "route_popularity"),
-        zone_hour_speed=routes.select(*ZONE_HOUR).distinct()
-                              .join(median(ZONE_HOUR, "zone_hour_speed"), ZONE_HOUR, "left"),
-        globals=routes.agg((F.sum("fare") / F.sum("n")).alias("mean_fare"))
-                      .select("mean_fare", median([], "median_speed").select("median_speed").scalar().alias("median_speed")),
-    )
-    tables.save(root)
+    learned = learn_tables(train, cfg)
+    profile = written(learned.pop("profile"), "zone-profile")
+    clusters = cluster_zones(profile, cfg.zone_clusters, cfg.cluster_restarts, cfg.seed)
+    FeatureTables(zone_cluster=clusters, **learned).save(root)
     return FeatureTables.load(spark, root)
 
 

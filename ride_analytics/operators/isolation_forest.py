@@ -8,6 +8,7 @@ are map-side work.
 from __future__ import annotations
 
 import math
+import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from ride_analytics.operators.quantiles import grouped_quantiles
 from ride_analytics.operators.sampling import first_n_by_hash
+from ride_analytics.sources.small import small_table
 from ride_analytics.sources.storage import cut
 
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, path double"
@@ -58,14 +60,22 @@ class _ForestParams(Params):
 def draw_samples(df: DataFrame, cols: list[str], key: str, trees: int, size: int, seed: int) -> DataFrame:
     """Rows (tree, cols...): ``min(size, n)`` distinct rows for every tree.
 
-    A pool of at most ``trees * size`` rows is drawn by hash from all rows; each
-    tree takes its own sample of the pool. The pool does not grow with the data.
+    A pool of at most ``trees * size`` rows, which does not grow with the data, is
+    drawn by hash and numbered in hash order. Each tree takes the positions of an
+    arithmetic progression of its own modulo the pool size; a step without common
+    divisor never repeats a row.
     """
-    pool = cut(first_n_by_hash(df.select(key, *[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).na.drop(),
-                               trees * size, key=key, salt=f"forest{seed}"))
-    spread = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    order = Window.partitionBy("tree").orderBy(F.xxhash64("tree", key, F.lit(seed)), key)
-    return spread.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= size).drop("_r", key)
+    spark, values = df.sparkSession, df.select(key, *[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).na.drop()
+    pool = first_n_by_hash(values, trees * size, key=key, salt=f"forest{seed}")
+    order = Window.orderBy(F.xxhash64(key, F.lit(seed)), key)        # the pool only
+    pool = cut(pool.withColumn("_pos", F.row_number().over(order) - 1))
+    n, rng = pool.count(), random.Random(seed)
+    steps = [s for s in (rng.randrange(1, n + 1) for _ in range(50 * trees)) if math.gcd(s, n) == 1] if n else []
+    paths = [(t, rng.randrange(n), steps[t % len(steps)] if steps else 1) for t in range(trees)] if n else []
+    draws = (small_table(spark, paths, "tree int, start bigint, step bigint")
+             .select("tree", "start", "step", F.explode(F.sequence(F.lit(0), F.lit(max(min(size, n), 1) - 1))).alias("j"))
+             .select("tree", ((F.col("start") + F.col("j") * F.col("step")) % max(n, 1)).cast("int").alias("_pos")))
+    return pool.join(draws, "_pos").select("tree", *[F.col(f"`{c}`") for c in cols])
 
 
 def _tree_grower(cols: list[str], depth: int, seed: int):

@@ -35,11 +35,16 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | N
     return cut(kept.groupBy(*keys, v.alias("_v")).agg(n.alias("_n")))
 
 
+def small_enough(counts: DataFrame, rows: int = SMALL_ROWS) -> bool:
+    """Whether a (checkpointed) table has at most ``rows`` rows."""
+    return counts.limit(rows + 1).count() <= rows
+
+
 def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: dict[str, float],
                         small_rows: int = SMALL_ROWS, ranges: int = RANGES) -> DataFrame:
     """``probs`` maps output names to probabilities; linear interpolation."""
     keys = list(keys)
-    if counts.limit(small_rows + 1).count() <= small_rows:
+    if small_enough(counts, small_rows):
         # Checked bound: no group can hold more distinct values than the table.
         q = counts.groupBy(*keys).agg(
             F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs.values()]), F.col("_n")).alias("_q"))

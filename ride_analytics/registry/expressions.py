@@ -167,10 +167,8 @@ def _(spark, sf):
     and looked up for test trips."""
     df = SA.with_test_flag(city(spark, sf))
     train, test = df.where(~F.col("is_test")), df.where(F.col("is_test"))
-    write = storage.written
-    pu = write(train.groupBy("PULocationID").agg(F.avg("fare_amount").alias("PU_fare_avg")), "pu-fare")
-    do = write(train.groupBy("DOLocationID").agg(F.avg("fare_amount").alias("DO_fare_avg")), "do-fare")
-    routes, backup = write(FT.route_stats(train), "routes"), write(FT.zone_hour_speed(train), "zone-hours")
-    out = FT.add_zone_fares(test, pu, do, train.agg(F.avg("fare_amount")).scalar())
-    out = FT.add_route_features(out, routes, backup, FT.global_speed(train).scalar())
+    learned = {name: storage.written(table, name) for name, table in FT.learn_tables(train).items()}
+    overall = learned["globals"].first()
+    out = FT.add_zone_fares(test, learned["pu_fare"], learned["do_fare"], F.lit(overall["mean_fare"]))
+    out = FT.add_route_features(out, learned["route_stats"], learned["zone_hour_speed"], F.lit(overall["median_speed"]))
     return rounded(out.select("row_key", "PU_fare_avg", "DO_fare_avg", "route_avg_speed", "route_popularity"))
