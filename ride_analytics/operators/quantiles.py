@@ -1,10 +1,11 @@
 """Exact quantiles per group without gathering a group in one task.
 
 Spark's own ``percentile`` holds every distinct value of a group in the memory
-of one task. Here the distinct values with their counts are spread over value
-ranges first; a rank is located among the ranges, then among the values of the
-one range it falls in. A range holds about ``1 / RANGES`` of all distinct
-values, whatever the share of the largest group.
+of one task, which is right for small inputs only. Beyond a checked size the
+wanted ranks are narrowed down instead: a sketch cuts the values into ranges,
+rows are counted per group and range, and only the ranges that hold a wanted
+rank go on. Each round leaves about ``1 / RANGES`` of the rows, whatever the
+share of the largest group, and shuffles only counts; what remains is sorted.
 """
 
 from __future__ import annotations
@@ -20,87 +21,105 @@ from ride_analytics.sources.storage import cut
 
 RANGES = 1024
 SMALL_ROWS = 2_000_000
+MAX_ROUNDS = 3
 APPROX_ACCURACY = 100_000
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
-    """Distinct non-null values per group with their counts, as a checkpoint.
-
-    Aggregated on the map side, so a hot group or a hot value ships one row per
-    task, and shuffled by group and value together.
-    """
-    n = F.count(F.lit(1)) if weight is None else F.sum(weight).cast("bigint")
-    v = F.col(value).cast("double")
-    kept = df.where(v.isNotNull() & ~F.isnan(v))
-    return cut(kept.groupBy(*keys, v.alias("_v")).agg(n.alias("_n")))
-
-
-def small_enough(counts: DataFrame, rows: int = SMALL_ROWS) -> bool:
+def small_enough(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
     """Whether a (checkpointed) table has at most ``rows`` rows."""
-    return counts.limit(rows + 1).count() <= rows
-
-
-def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: dict[str, float],
-                        small_rows: int = SMALL_ROWS, ranges: int = RANGES) -> DataFrame:
-    """``probs`` maps output names to probabilities; linear interpolation."""
-    keys = list(keys)
-    if small_enough(counts, small_rows):
-        # Checked bound: no group can hold more distinct values than the table.
-        q = counts.groupBy(*keys).agg(
-            F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs.values()]), F.col("_n")).alias("_q"))
-        return q.select(*[F.col(f"`{k}`") for k in keys],
-                        *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
-
-    splits = _range_edges(counts, ranges)
-    ranged = Bucketizer(splits=splits, inputCol="_v", outputCol="_b").transform(counts)
-    per_range = ranged.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
-    within = Window.partitionBy(*keys)   # at most `ranges` rows each
-    placed = (per_range
-              .withColumn("_cum", F.sum("_bn").over(within.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("_total", F.sum("_bn").over(within))
-              .withColumn("_before", F.col("_cum") - F.col("_bn")))
-
-    def position(p):
-        return F.lit(float(p)) * (F.col("_total") - 1)
-
-    wanted = F.lit(False)
-    for p in probs.values():
-        for rank in (F.floor(position(p)), F.ceil(position(p))):
-            wanted = wanted | ((rank >= F.col("_before")) & (rank < F.col("_cum")))
-    chosen = cut(placed.where(wanted).select(*keys, "_b", "_before", "_total"))
-    rows = null_safe_join(ranged, bounded(chosen), [*keys, "_b"])
-    upto = F.sum("_n").over(Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = (rows.withColumn("_end", F.col("_before") + upto)
-                  .withColumn("_start", F.col("_end") - F.col("_n")))
-    out = []
-    for name, p in probs.items():
-        lo, hi = F.floor(position(p)), F.ceil(position(p))
-        at = lambda r: F.max(F.when((r >= F.col("_start")) & (r < F.col("_end")), F.col("_v")))
-        share = F.max(position(p) - lo)
-        out.append((at(lo) + (at(hi) - at(lo)) * share).alias(name))
-    return ranked.groupBy(*keys).agg(*out)
+    return df.limit(rows + 1).count() <= rows
 
 
-def _range_edges(counts: DataFrame, ranges: int) -> list[float]:
+def _size_and_edges(values: DataFrame, ranges: int) -> tuple[int, list[float]]:
+    """Row count, and values that cut the rows into about equal ranges."""
     probs = [i / ranges for i in range(1, ranges)]
-    inner = counts.agg(F.percentile_approx("_v", probs, 10 * ranges).alias("s")).first()["s"] or []
-    return [-float("inf"), *sorted(set(inner)), float("inf")]
+    row = values.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", probs, 10 * ranges).alias("edges")).first()
+    return row["n"], sorted(set(row["edges"] or []))
 
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
                       weight: str | None = None, approx: bool = False,
                       small_rows: int = SMALL_ROWS, ranges: int = RANGES) -> DataFrame:
-    """Quantiles of ``value`` per group; groups without any value are absent.
+    """Quantiles of ``value`` per group, by linear interpolation.
 
-    ``approx`` gives Spark's mergeable sketch instead, in one pass.
+    ``probs`` maps output names to probabilities. Nulls and NaN do not count;
+    groups without any value are absent. ``weight`` names a column of row
+    counts. ``approx`` gives Spark's mergeable sketch in one pass.
     """
+    keys, v = list(keys), F.col(value).cast("double")
+    n = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
+    values = (df.select(*[F.col(f"`{k}`") for k in keys], v.alias("_v"), n.alias("_n"))
+                .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
+    named = [F.col("_q")[i].alias(name) for i, name in enumerate(probs)]
+    listed = [float(p) for p in probs.values()]
     if approx and weight is None:
-        v = F.col(value).cast("double")
-        q = (df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*keys)
-               .agg(F.percentile_approx(v, list(map(float, probs.values())), APPROX_ACCURACY).alias("_q")))
-        return q.select(*[F.col(f"`{k}`") for k in keys],
-                        *[F.col("_q")[i].alias(name) for i, name in enumerate(probs)])
-    return quantiles_of_counts(value_counts(df, keys, value, weight), keys, probs, small_rows, ranges)
+        q = values.groupBy(*keys).agg(F.percentile_approx("_v", listed, APPROX_ACCURACY).alias("_q"))
+        return q.where(F.col("_q").isNotNull()).select(*keys, *named)
+    size, edges = _size_and_edges(values, ranges)
+    if size <= small_rows:
+        q = values.groupBy(*keys).agg(F.percentile("_v", F.array(*[F.lit(p) for p in listed]), F.col("_n")).alias("_q"))
+        return q.where(F.col("_q").isNotNull()).select(*keys, *named)
+
+    if not keys:
+        whole = _ranked(values.withColumn("_all", F.lit(0)), ["_all"], probs, edges, small_rows, ranges)
+        return whole.drop("_all")
+    return _ranked(values, keys, probs, edges, small_rows, ranges)
+
+
+def _ranked(values: DataFrame, keys: list[str], probs: dict[str, float], edges: list[float], small_rows: int,
+            ranges: int) -> DataFrame:
+    """The path for large inputs."""
+    listed = [float(p) for p in probs.values()]
+    sums = _range_sums(values, keys, edges, MAX_ROUNDS)
+    sizes = sums.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    wanted = F.array(*[F.struct(F.lit(i).alias("id"), rank.alias("rank"))
+                       for i, p in enumerate(listed)
+                       for rank in (F.floor(F.lit(p) * (F.col("_total") - 1)), F.ceil(F.lit(p) * (F.col("_total") - 1)))])
+    ranks = sizes.select(*keys, "_total", F.explode(F.array_distinct(wanted)).alias("w")).select(
+        *keys, "_total", F.col("w.id").alias("_id"), F.col("w.rank").alias("_rank"), F.col("w.rank").alias("_left"))
+    found = _values_at(values, keys, keys, cut(ranks), edges, sums, small_rows, ranges, MAX_ROUNDS)
+    out = []
+    for i, (name, p) in enumerate(zip(probs, listed)):
+        mine = F.col("_id") == i
+        lo, hi = F.min(F.when(mine, F.col("_v"))), F.max(F.when(mine, F.col("_v")))
+        at = F.lit(p) * (F.max("_total") - 1)
+        out.append((lo + (hi - lo) * (at - F.floor(at))).alias(name))
+    return found.groupBy(*keys).agg(*out)
+
+
+def _in_ranges(values: DataFrame, edges: list[float], mark: str) -> DataFrame:
+    return Bucketizer(splits=[-float("inf"), *edges, float("inf")], inputCol="_v", outputCol=mark).transform(values)
+
+
+def _range_sums(values: DataFrame, within: list[str], edges: list[float], rounds: int) -> DataFrame:
+    """Rows per group and range: at most ``ranges`` per group, merged before the shuffle."""
+    mark = f"_range{rounds}"
+    return cut(_in_ranges(values, edges, mark).groupBy(*within, mark).agg(F.sum("_n").alias("_n")))
+
+
+def _hits(counts: DataFrame, ranks: DataFrame, within: list[str], by: str) -> DataFrame:
+    """Entries of ``counts``, in the order of ``by``, that contain a wanted rank."""
+    upto = F.sum("_n").over(Window.partitionBy(*within).orderBy(by).rowsBetween(Window.unboundedPreceding, 0))
+    placed = counts.withColumn("_end", upto).withColumn("_start", F.col("_end") - F.col("_n")).drop("_n")
+    joined = null_safe_join(placed, bounded(ranks), within)
+    return joined.where((F.col("_left") >= F.col("_start")) & (F.col("_left") < F.col("_end")))
+
+
+def _values_at(values: DataFrame, keys: list[str], within: list[str], ranks: DataFrame, edges: list[float],
+               sums: DataFrame, small_rows: int, ranges: int, rounds: int) -> DataFrame:
+    """The value at each wanted rank. ``ranks`` holds, per group ``within``, the
+    place ``_left`` of a rank among the values that are still in the race."""
+    mark = f"_range{rounds}"
+    narrowed = cut(_hits(sums, ranks, within, mark).withColumn("_left", F.col("_left") - F.col("_start")).drop("_start", "_end"))
+    inner = [*within, mark]
+    rest = cut(null_safe_join(_in_ranges(values, edges, mark), bounded(narrowed.select(*inner).distinct()), inner))
+    size, finer = _size_and_edges(rest, ranges)
+    if size <= small_rows or len(finer) <= 1 or rounds == 1:
+        # Few rows, or few distinct values: repeated values are merged before the shuffle.
+        counts = rest.groupBy(*inner, "_v").agg(F.sum("_n").alias("_n"))
+        return _hits(counts, narrowed, inner, "_v").select(*keys, "_total", "_id", "_rank", "_v")
+    return _values_at(rest, keys, inner, narrowed, finer, _range_sums(rest, inner, finer, rounds - 1),
+                      small_rows, ranges, rounds - 1)
 
 
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, name: str, weight: str | None = None,
@@ -110,21 +129,21 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, name: str, we
 
 def box_statistics(df: DataFrame, keys: Sequence[str], value: str, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Quartiles and whiskers per group: the last values inside 1.5 times the
-    inter-quartile range, never inside the box. All from one table of counts."""
-    counts = value_counts(df, keys, value)
-    q = cut(quantiles_of_counts(counts, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75}, small_rows))
-    reach = (F.col("q3") - F.col("q1")) * 1.5
+    inter-quartile range, never inside the box."""
+    keys, v = list(keys), F.col(value).cast("double")
+    quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    q = cut(grouped_quantiles(df, keys, value, quartiles, small_rows=small_rows))
+    rows = df.select(*[F.col(f"`{k}`") for k in keys], v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if keys:
-        joined = null_safe_join(counts, bounded(q), keys)
+        joined = null_safe_join(rows, bounded(q), keys)
     else:
         whole = q.first()
-        joined = counts.withColumns({c: F.lit(whole[c] if whole else None).cast("double")
-                                     for c in ("q1", "median", "q3")})
+        joined = rows.withColumns({c: F.lit(whole[c] if whole else None).cast("double") for c in quartiles})
+    reach = (F.col("q3") - F.col("q1")) * 1.5
     sides = joined.groupBy(*keys).agg(
         F.min(F.when(F.col("_v") >= F.col("q1") - reach, F.col("_v"))).alias("_lo"),
         F.max(F.when(F.col("_v") <= F.col("q3") + reach, F.col("_v"))).alias("_hi"),
-        F.sum("_n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
-        F.first("q3").alias("q3"))
+        F.count("_v").alias("n"), *[F.max(c).alias(c) for c in quartiles])
     return sides.select(*[F.col(f"`{k}`") for k in keys], "n", "q1", "median", "q3",
                         F.least("_lo", "q1").alias("whisker_low"), F.greatest("_hi", "q3").alias("whisker_high"))
 

@@ -21,7 +21,8 @@ from ride_analytics.sources.storage import append_metrics, load_or_tune, written
 
 def evaluate(models: dict[str, PipelineModel], test: DataFrame, cfg: Config) -> DataFrame:
     """One metrics row per model on the same rows."""
-    rows = [regression_metrics(m.transform(test), cfg.target, model=name) for name, m in models.items()]
+    rows = [regression_metrics(written(m.transform(test).select(cfg.target, "prediction"), "predictions"), cfg.target, model=name)
+            for name, m in models.items()]
     return reduce(DataFrame.unionByName, rows)
 
 
