@@ -18,7 +18,7 @@ from ride_analytics.operators.ordering import number_rows, smallest_prefix
 from ride_analytics.operators.quantiles import grouped_quantiles
 from ride_analytics.operators.sampling import KEY, hash_number, sample_rows, with_prefix_level
 from ride_analytics.sources.small import small_table
-from ride_analytics.sources.storage import cut, written
+from ride_analytics.sources.storage import written
 
 IMPORTANCE = "`Model` string, `Feature` string, `Importance (%)` double"
 
@@ -75,7 +75,7 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
     once per feature, with that feature taken from the partner.
     """
     features = list(features)
-    numbered = cut(number_rows(df.withColumn("_h", hash_number(F.col(key), f"permute{cfg.seed}")), ["_h", key], "_pos").drop("_h"))
+    numbered = number_rows(df.withColumn("_h", hash_number(F.col(key), f"permute{cfg.seed}")), ["_h", key], "_pos").drop("_h")
     n = numbered.count()
     base = model.transform(numbered).agg(F.avg(absolute_error(cfg.target, "prediction"))).first()[0]
     rng = random.Random(cfg.seed)

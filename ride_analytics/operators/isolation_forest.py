@@ -198,7 +198,8 @@ class IsolationForestModel(Model, _ForestParams):
 
     def fit_cutoff(self, df: DataFrame) -> float:
         share = 1.0 - self.value(self.contamination)
-        row = grouped_quantiles(self.score_distinct(df), [], "score", {"q": share}, weight="n").first()
+        scored = cut(self.score_distinct(df).select("score", "n"))
+        row = grouped_quantiles(scored, [], "score", {"q": share}, weight="n").first()
         return float(row["q"]) if row else math.inf
 
     def _transform(self, dataset: DataFrame) -> DataFrame:

@@ -8,12 +8,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ride_analytics.functions.bins import FARE_CLASSES, BinSpec
-from ride_analytics.operators.joins import null_safe_join
+from ride_analytics.operators.joins import bounded, null_safe_join
+from ride_analytics.sources.small import small_table
+from ride_analytics.sources.storage import cut
 
 KEY = "row_key"
 
@@ -59,7 +62,7 @@ def first_n_by_hash(df: DataFrame, n: int, groups: Sequence[str] = (), key: str
     if not groups:
         few = hashed.where(F.col("_bits") <= enough.select("_limit").scalar())
         return few.orderBy("_h", key).limit(n).drop("_h", "_bits")
-    few = null_safe_join(hashed, enough, groups).where(F.col("_bits") <= F.col("_limit"))
+    few = null_safe_join(hashed, bounded(cut(enough)), groups).where(F.col("_bits") <= F.col("_limit"))
     rank = F.row_number().over(Window.partitionBy(*groups).orderBy("_h", key))
     return few.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_h", "_bits", "_limit", "_rank")
 
@@ -110,27 +113,37 @@ def balance_classes(df: DataFrame, target: int = 30_000, spec: BinSpec = FARE_CL
     the class deviation on the ``jitter`` columns, not below the class minimum.
     Column ``copy`` is 0 for original rows and the draw number for drawn ones.
     """
-    cols = df.columns
-    binned = df.withColumn("_class", spec.label(F.col(by))).where(F.col("_class").isNotNull())
-    stats = binned.groupBy("_class").agg(
-        F.count(F.lit(1)).alias("_size"),
-        *[F.stddev_samp(c).alias(f"_sd_{c}") for c in jitter],
-        *[F.min(c).alias(f"_min_{c}") for c in jitter])          # one row per class of `spec`
-    sized = binned.join(F.broadcast(stats), "_class")
-
-    kept = (first_n_by_hash(sized.where(F.col("_size") >= target), target, ["_class"], key, f"balance{seed}")
-            .select(*[F.col(f"`{c}`") for c in cols], F.lit(0).cast("bigint").alias("copy")))
-
-    order = Window.partitionBy("_class").orderBy(hash_number(F.col(key), f"balance{seed}"), key)
-    numbered = sized.where(F.col("_size") < target).withColumn("_pos", F.row_number().over(order))
-    draws = (stats.where(F.col("_size") < target)
-                  .select("_class", "_size", F.explode(F.sequence(F.lit(1), F.lit(target))).alias("copy"))
-                  .withColumn("_draw", F.concat_ws("-", F.col("_class"), F.col("copy")))
-                  .withColumn("_pos", (hash_number(F.col("_draw"), f"draw{seed}") % F.col("_size") + 1).cast("int"))
-                  .select("_class", "_pos", "_draw", F.col("copy").cast("bigint").alias("copy")))
-    drawn = numbered.join(draws, ["_class", "_pos"])
-    for c in jitter:
-        noise = gaussian(F.concat_ws("-", F.col("_draw"), F.lit(c)), f"noise{seed}")
-        moved = F.col(f"`{c}`") + noise * F.coalesce(F.col(f"`_sd_{c}`"), F.lit(0.0)) * jitter_share
-        drawn = drawn.withColumn(c, F.greatest(moved, F.col(f"`_min_{c}`")))
-    return kept.unionByName(drawn.select(*[F.col(f"`{c}`") for c in cols], "copy"))
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    binned = df.withColumn("_class", spec.label(F.col(by)))
+    # One row per class of `spec`.
+    stats = binned.where(F.col("_class").isNotNull()).groupBy("_class").agg(
+        F.count(F.lit(1)).alias("size"),
+        *[F.struct(F.stddev_samp(c).alias("sd"), F.min(c).alias("low")).alias(f"of_{c}") for c in jitter]).collect()
+    salt, parts = f"balance{seed}", []
+    large = [r["_class"] for r in stats if r["size"] >= target]
+    if large:
+        kept = first_n_by_hash(binned.where(F.col("_class").isin(large)), target, ["_class"], key, salt)
+        parts.append(kept.select(*cols, F.lit(0).cast("bigint").alias("copy")))
+    small = [r for r in stats if r["size"] < target]
+    if small:
+        order = Window.partitionBy("_class").orderBy(hash_number(F.col(key), salt), key)
+        numbered = (binned.where(F.col("_class").isin([r["_class"] for r in small]))
+                          .withColumn("_pos", F.row_number().over(order)))
+        sizes = small_table(df.sparkSession, [(r["_class"], r["size"]) for r in small], "_class string, _size bigint")
+        draws = (sizes.select("_class", "_size", F.explode(F.sequence(F.lit(1), F.lit(target))).alias("copy"))
+                      .withColumn("_draw", F.concat_ws("-", F.col("_class"), F.col("copy")))
+                      .withColumn("_pos", (hash_number(F.col("_draw"), f"draw{seed}") % F.col("_size") + 1).cast("int"))
+                      .select("_class", "_pos", "_draw", F.col("copy").cast("bigint").alias("copy")))
+        drawn = numbered.join(draws, ["_class", "_pos"])
+        for c in jitter:
+            noise = gaussian(F.concat_ws("-", F.col("_draw"), F.lit(c)), f"noise{seed}")
+            sd, low = F.lit(0.0), F.lit(None).cast("double")
+            for r in small:
+                mine = F.col("_class") == r["_class"]
+                sd = F.when(mine, F.lit(r[f"of_{c}"]["sd"] or 0.0)).otherwise(sd)
+                low = F.when(mine, F.lit(r[f"of_{c}"]["low"])).otherwise(low)
+            drawn = drawn.withColumn(c, F.greatest(F.col(f"`{c}`") + noise * sd * jitter_share, low))
+        parts.append(drawn.select(*cols, "copy"))
+    if not parts:
+        return df.withColumn("copy", F.lit(0).cast("bigint")).limit(0)
+    return reduce(DataFrame.unionByName, parts)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,20 +46,17 @@ def correlation_matrix(df: DataFrame, features: Sequence[str], target: str = "fa
                        display: bool = False) -> DataFrame:
     """Pearson correlation of every pair of features, the target left out.
 
-    Each pair is one aggregate of a single pass; the result is mirrored.
+    One pass collects the products of all pairs; the matrix of features comes
+    back. Correlations with a constant column are null.
     """
     cols = [c for c in features if c != target]
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    # A correlation of a column with itself is 1, unless the column is constant.
-    row = df.agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"c{i}")
-                   for i, (a, b) in enumerate(pairs)])
+    vectors = VectorAssembler(inputCols=cols, outputCol="_x", handleInvalid="skip").transform(
+        df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])).select("_x")
+    matrix = Correlation.corr(vectors, "_x").first()[0].toArray()
     name = display_name if display else (lambda c: c)
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        cells.append(F.struct(F.lit(name(a)).alias("x"), F.lit(name(b)).alias("y"), F.col(f"c{i}").alias("corr")))
-        if a != b:
-            cells.append(F.struct(F.lit(name(b)).alias("x"), F.lit(name(a)).alias("y"), F.col(f"c{i}").alias("corr")))
-    return row.select(F.inline(F.array(*cells)))
+    rows = [(name(a), name(b), None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return small_table(df.sparkSession, rows, "x string, y string, corr double")
 
 
 def fit_components(df: DataFrame, features: Sequence[str]):

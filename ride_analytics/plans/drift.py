@@ -19,8 +19,7 @@ from ride_analytics.sources.storage import written
 def later_period(trips: DataFrame, zones: DataFrame, holidays: DataFrame, tables: FeatureTables, cfg: Config) -> DataFrame:
     """Later trips, cleaned with a forest of their own, with the features of the
     period the models were trained on."""
-    clean = written(clean_trips(trips, zones, holidays, cfg), "later-clean")
-    kept, _ = without_outliers(clean, cfg)
+    kept, _ = without_outliers(clean_trips(trips, zones, holidays, cfg), cfg)
     return written(model_columns(apply_feature_tables(kept, tables), cfg), "later-features")
 
 

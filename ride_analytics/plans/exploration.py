@@ -51,17 +51,16 @@ def explore(trips: DataFrame, zones: DataFrame, holidays: DataFrame, cfg: Config
     forest grown on the borough), distance range, fare per mile and zone fare."""
     everywhere = Config(**{**cfg.__dict__, "home_borough": None})
     home = F.lit(True) if cfg.home_borough is None else F.coalesce(in_borough(cfg.home_borough), F.lit(False))
-    staged = written(clean_trips(trips, zones, holidays, everywhere)
-                     .withColumn("trip_duration_min", X.duration_minutes("tpep_pickup_datetime", "tpep_dropoff_datetime"))
-                     .withColumn("in_borough", home), "explored-city")
+    staged = (clean_trips(trips, zones, holidays, everywhere)
+              .withColumn("trip_duration_min", X.duration_minutes("tpep_pickup_datetime", "tpep_dropoff_datetime"))
+              .withColumn("in_borough", home))
     forest = fit_outliers(staged.where("in_borough"), cfg.contamination, cfg.seed)
     flagged = forest.transform(staged).withColumn("is outlier", F.col("in_borough") & F.col("is outlier")).drop("outlier score")
-    kept = F.col("in_borough") & ~F.col("is outlier")
-    zone_fare = written(flagged.where(kept).groupBy("PULocationID").agg(F.avg("fare_amount").alias("PU_fare_avg")), "zone-fare")
-    full = (S.with_distance_bin(flagged, spec)
-            .withColumn("fare per mile", X.ratio(F.col("fare_amount"), F.col("trip_distance")))
-            .join(zone_fare, "PULocationID", "left"))
-    return Exploration(written(full, "explored", path), zones, cfg)
+    stored = written(S.with_distance_bin(flagged, spec).withColumn(
+        "fare per mile", X.ratio(F.col("fare_amount"), F.col("trip_distance"))), "explored", path)
+    kept = stored.where(F.col("in_borough") & ~F.col("is outlier"))
+    zone_fare = written(S.mean_fare_by_zone(kept, "PULocationID", "PU_fare_avg"), "zone-fare")
+    return Exploration(stored.join(zone_fare, "PULocationID", "left"), zones, cfg)
 
 
 def figures(e: Exploration, sample: int = 50_000, spec: BinSpec = DISTANCE_BINS) -> dict[str, DataFrame]:

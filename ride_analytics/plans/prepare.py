@@ -45,7 +45,8 @@ def prepare(trips: DataFrame, zones: DataFrame, holidays: DataFrame, cfg: Config
     """
     spark = trips.sparkSession
     base = f"{root or fresh_path(spark, 'prepared')}/{cfg.key()}"
-    clean = cached_table(spark, base, "clean", lambda: clean_trips(trips, zones, holidays, cfg))
+    # Not stored: cleaning is a filter and map-side lookups over the columns in use.
+    clean = clean_trips(trips, zones, holidays, cfg)
     if exists(spark, f"{base}/forest/meta/_SUCCESS"):
         forest = IsolationForestModel.load(spark, f"{base}/forest")
     else:
