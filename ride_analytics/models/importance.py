@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -143,22 +144,27 @@ def sampled_attributions(model: PipelineModel, df: DataFrame, features: Sequence
 
 
 def learning_curve(models: dict[str, Pipeline], df: DataFrame, cfg: Config,
-                   fractions: Sequence[float] = (0.1, 0.325, 0.55, 0.775, 1.0), fold: str = "fold") -> DataFrame:
+                   fractions: Sequence[float] = (0.1, 0.325, 0.55, 0.775, 1.0), fold: str = "fold",
+                   parallelism: int = 4) -> DataFrame:
     """Training and validation error of every model, sample size and fold.
     Samples are nested."""
     spark = df.sparkSession
     data = written(with_prefix_level(df, fractions), "learning-curve")
-    error, rows = absolute_error(cfg.target, "prediction"), []
-    for name, pipeline in models.items():
-        for level in range(len(fractions)):
-            for k in range(cfg.folds):
-                used = (F.col("level") <= level) & (F.col(fold) != k)
-                model = pipeline.fit(data.where(used))
-                got = (model.transform(data.where(used | (F.col(fold) == k)))
-                            .agg(F.count_if(F.col(fold) != k).alias("n"),
-                                 F.avg(F.when(F.col(fold) != k, error)).alias("t"),
-                                 F.avg(F.when(F.col(fold) == k, error)).alias("v")).first())
-                rows.append((name, level, k, got["n"], got["t"], got["v"]))
+    error = absolute_error(cfg.target, "prediction")
+
+    def one(point):
+        name, level, k = point
+        used = (F.col("level") <= level) & (F.col(fold) != k)
+        model = models[name].fit(data.where(used))
+        got = (model.transform(data.where(used | (F.col(fold) == k)))
+                    .agg(F.count_if(F.col(fold) != k).alias("n"),
+                         F.avg(F.when(F.col(fold) != k, error)).alias("t"),
+                         F.avg(F.when(F.col(fold) == k, error)).alias("v")).first())
+        return name, level, k, got["n"], got["t"], got["v"]
+
+    points = [(name, level, k) for name in models for level in range(len(fractions)) for k in range(cfg.folds)]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:      # Spark runs the jobs of several fits at once
+        rows = list(pool.map(one, points))
     return small_table(spark, rows, "model string, level int, fold int, train_rows bigint, train_mae double, validation_mae double")
 
 

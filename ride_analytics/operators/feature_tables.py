@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,8 +76,11 @@ class FeatureTables:
     globals: DataFrame         # mean_fare, median_speed (one row)
 
     def save(self, root: str) -> None:
-        for f in fields(self):
-            getattr(self, f.name).write.mode("overwrite").parquet(f"{root}/{f.name}")
+        def write(name: str) -> None:
+            getattr(self, name).write.mode("overwrite").parquet(f"{root}/{name}")
+
+        with ThreadPoolExecutor(max_workers=4) as pool:      # small tables, written side by side
+            list(pool.map(write, [f.name for f in fields(self)]))
 
     @classmethod
     def load(cls, spark: SparkSession, root: str) -> FeatureTables:

@@ -57,8 +57,8 @@ class _ForestParams(Params):
         return self.getOrDefault(param)
 
 
-def draw_samples(df: DataFrame, cols: list[str], key: str, trees: int, size: int, seed: int) -> DataFrame:
-    """Rows (tree, cols...): ``min(size, n)`` distinct rows for every tree.
+def draw_samples(df: DataFrame, cols: list[str], key: str, trees: int, size: int, seed: int) -> tuple[DataFrame, int]:
+    """Rows (tree, cols...), ``min(size, n)`` distinct ones for every tree, and that number.
 
     A pool of at most ``trees * size`` rows, which does not grow with the data, is
     drawn by hash and numbered in hash order. Each tree takes the positions of an
@@ -75,7 +75,7 @@ def draw_samples(df: DataFrame, cols: list[str], key: str, trees: int, size: int
     draws = (small_table(spark, paths, "tree int, start bigint, step bigint")
              .select("tree", "start", "step", F.explode(F.sequence(F.lit(0), F.lit(max(min(size, n), 1) - 1))).alias("j"))
              .select("tree", ((F.col("start") + F.col("j") * F.col("step")) % max(n, 1)).cast("int").alias("_pos")))
-    return pool.join(draws, "_pos").select("tree", *[F.col(f"`{c}`") for c in cols])
+    return pool.join(draws, "_pos").select("tree", *[F.col(f"`{c}`") for c in cols]), min(size, n)
 
 
 def _tree_grower(cols: list[str], depth: int, seed: int):
@@ -128,8 +128,7 @@ class IsolationForest(Estimator, _ForestParams):
     def _fit(self, dataset: DataFrame) -> IsolationForestModel:
         cols = self.value(self.inputCols)
         size, trees, seed = self.value(self.sampleSize), self.value(self.numTrees), self.value(self.seed)
-        samples = cut(draw_samples(dataset, cols, self.value(self.keyCol), trees, size, seed))
-        used = samples.where("tree = 0").count()
+        samples, used = draw_samples(dataset, cols, self.value(self.keyCol), trees, size, seed)
         if used == 0:
             raise ValueError("no complete rows to grow a forest from")
         depth = max(1, math.ceil(math.log2(max(used, 2))))

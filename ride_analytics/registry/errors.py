@@ -50,6 +50,14 @@ def _(spark, sf):
     return rounded(summary(spark, sf))
 
 
+@query("csv_zone_report", sql("SELECT * FROM zone_summary", ZONE_SUMMARY, doubles=_ZONE_DOUBLES))
+def _(spark, sf):
+    """The zone summary as a CSV result table, read back."""
+    table = summary(spark, sf)
+    paths = storage.write_csv_tables({"zone_summary": table}, storage.fresh_path(spark, "zone-report"))
+    return rounded(storage.read_csv(spark, paths["zone_summary"], table.schema))
+
+
 @query("support_group_counts", sql("""SELECT b.support_group, b.bin_order, coalesce(z.zones, 0) AS zones, coalesce(z.trips, 0) AS trips
   FROM bins b LEFT JOIN (SELECT support_group, count(*) AS zones, CAST(sum(n_trips) AS BIGINT) AS trips FROM zone_summary GROUP BY 1) z
     ON b.support_group = z.support_group""", ZONE_SUMMARY, values_bins(SUPPORT_GROUPS, "support_group")))

@@ -106,5 +106,10 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_csv_tables(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
+    """One CSV folder per named result table."""
+    return {name: write_csv(table, f"{root}/{name}") for name, table in tables.items()}
+
+
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)

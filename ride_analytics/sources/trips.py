@@ -75,9 +75,15 @@ def load_trips(spark: SparkSession, paths, months: Sequence[str] | None = None,
             raw = raw.where(F.col("pickup_month").cast("string").isin(*months))
         else:
             raw = raw.where(in_months("tpep_pickup_datetime", months))
-    key = ["row_key"] if "row_key" in raw.columns else []
-    typed = [F.col(c).cast(TRIP_TYPES[c]).alias(c) for c in existing_columns(raw, cfg.keep_columns)]
-    return raw.select(*key, *typed)
+    kept = existing_columns(raw, cfg.keep_columns)
+    key = F.col("row_key") if "row_key" in raw.columns else content_key(kept)
+    return raw.select(key.alias("row_key"), *[F.col(c).cast(TRIP_TYPES[c]).alias(c) for c in kept])
+
+
+def content_key(columns: Sequence[str]):
+    """Row key from the row's own values, for sources without one: the same after
+    a retry, unlike a generated number. Only rows equal in every column share it."""
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
 
 
 def in_months(column: str, months: Sequence[str]):

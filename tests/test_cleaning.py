@@ -70,7 +70,12 @@ def test_sources(spark, tmp_path):
     df.withColumn("pickup_month", F.date_format("tpep_pickup_datetime", "yyyy-MM")).write.partitionBy("pickup_month").parquet(path + "-m")
     by_month = T.load_trips(spark, path + "-m", ["2025-06", "2025-07"])
     assert by_month.count() == 2
-    assert "PartitionFilters: [isnotnull(pickup_month" in by_month._jdf.queryExecution().executedPlan().toString() or "pickup_month" in by_month._jdf.queryExecution().executedPlan().toString()
+    text = by_month._jdf.queryExecution().executedPlan().toString()
+    assert "pickup_month" in text.split("PartitionFilters: [")[1].split("]")[0]
+    df.drop("row_key").write.parquet(path + "-k")
+    keyed = T.load_trips(spark, path + "-k")
+    assert keyed.select("row_key").distinct().count() == 3
+    assert keyed.exceptAll(T.load_trips(spark, path + "-k").repartition(3)).count() == 0
     assert T.other_month_path("a/2025-01.parquet", "2025-01", "2025-07") == "a/2025-07.parquet"
     with pytest.raises(ValueError):
         T.other_month_path("a/b.parquet", "2025-01", "2025-07")
@@ -81,8 +86,17 @@ def test_sources(spark, tmp_path):
 def test_filters_reach_the_scan(spark, tmp_path, known_zones, known_holidays):
     path = str(tmp_path / "t")
     table(spark, {}).withColumn("unused", F.lit(1)).write.parquet(path)
-    plan = C.clean_trips(T.load_trips(spark, path), known_zones, known_holidays, HOME).select("fare_amount", "hour")
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThan(fare_amount,0.0)" in text or "PushedFilters: [IsNotNull" in text
-    assert "unused" not in text
-    assert "SortMergeJoin" not in text and "Exchange hashpartitioning" not in text.replace("_holiday", "")
+    plan = C.clean_trips(T.load_trips(spark, path), known_zones, known_holidays, HOME).select("fare_amount", "hour", "is_holiday")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    text = plan._sc._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "formatted")
+    pushed = text.split("PushedFilters: [")[1].split("\n")[0]
+    assert "GreaterThan(fare_amount,0.0)" in pushed and "LessThanOrEqual(fare_amount,50.0)" in pushed
+    assert "EqualTo(RatecodeID,1.0)" in pushed
+    schema = text.split("ReadSchema: ")[1].split("\n")[0]
+    assert "unused" not in schema and "row_key" not in schema
+    # Zones and holidays are broadcast: the trips are joined where they are read.
+    tree = plan._jdf.queryExecution().executedPlan().toString()
+    assert tree.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in tree
+    # A column nobody asks for costs no join.
+    fewer = plan.select("fare_amount")._jdf.queryExecution().executedPlan().toString()
+    assert fewer.count("BroadcastHashJoin") == 2

@@ -74,3 +74,11 @@ def test_large_lookups_are_not_broadcast(train):
     from ride_analytics.operators.joins import bounded
     assert "broadcast" in bounded(train)._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in bounded(train, 2)._jdf.queryExecution().logical().toString().lower()
+
+
+def test_lookups_do_not_shuffle_trips(spark, train, tmp_path):
+    tables = FT.fit_feature_tables(train, CFG, str(tmp_path / "p"))
+    train.write.parquet(str(tmp_path / "trips"))
+    out = FT.apply_feature_tables(spark.read.parquet(str(tmp_path / "trips")), tables)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert text.count("BroadcastHashJoin") == 5 and "Exchange hashpartitioning" not in text

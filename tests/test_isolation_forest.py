@@ -28,11 +28,12 @@ def test_saved_forest_scores_alike(spark, known, tmp_path):
 
 def test_samples_have_exact_size_without_repeats(spark, known):
     for n, want in ((6000, 256), (100, 100)):
-        s = IF.draw_samples(known.limit(n), ["fare_amount", "trip_distance"], "row_key", 20, 256, 42)
+        s, used = IF.draw_samples(known.limit(n), ["fare_amount", "trip_distance"], "row_key", 20, 256, 42)
+        assert used == want
         sizes = [r["count"] for r in s.groupBy("tree").count().collect()]
         assert sizes == [want] * 20
     unique = known.withColumn("fare_amount", F.monotonically_increasing_id().cast("double"))
-    s = IF.draw_samples(unique, ["fare_amount"], "row_key", 20, 256, 42)
+    s, _ = IF.draw_samples(unique, ["fare_amount"], "row_key", 20, 256, 42)
     assert s.groupBy("tree", "fare_amount").count().where("count > 1").count() == 0
 
 
