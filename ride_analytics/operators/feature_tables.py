@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ride_analytics.config import Config
@@ -31,14 +31,17 @@ def speed_counts(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("fare_amount").alias("fare"), F.sum("trip_distance").alias("miles")))
 
 
+def _exact_median() -> Column:
+    return F.percentile("speed_mph", F.lit(0.5), F.when(F.col("speed_mph").isNotNull(), F.col("n")).otherwise(0))
+
+
 def _speed_medians(counts: DataFrame, keys: list[str], median: str, approx_from: DataFrame | None = None) -> DataFrame:
     """Groups with only null speeds stay, with a null median."""
     if approx_from is not None:
         med = grouped_median(with_speed(approx_from), keys, "speed_mph", median, approx=True)
     elif small_enough(counts):
         # Checked bound: a group holds no more distinct speeds than the table.
-        exact = F.percentile("speed_mph", F.lit(0.5), F.when(F.col("speed_mph").isNotNull(), F.col("n")).otherwise(0))
-        return counts.groupBy(*keys).agg(exact.alias(median))
+        return counts.groupBy(*keys).agg(_exact_median().alias(median))
     else:
         med = grouped_median(counts, keys, "speed_mph", median, weight="n")
     return counts.select(*keys).distinct().join(med, keys, "left") if keys else med
@@ -47,10 +50,11 @@ def _speed_medians(counts: DataFrame, keys: list[str], median: str, approx_from:
 def route_stats(df: DataFrame, approx: bool = False, counts: DataFrame | None = None) -> DataFrame:
     """Median speed and number of speeds per pickup, dropoff and hour."""
     counts = speed_counts(df) if counts is None else counts
-    speeds = F.sum(F.when(F.col("speed_mph").isNotNull(), F.col("n")).otherwise(0))
-    popular = counts.groupBy(*ROUTE).agg(speeds.alias("route_popularity"))
-    return (popular.join(_speed_medians(counts, ROUTE, "route_avg_speed", df if approx else None), ROUTE, "left")
-                   .select(*ROUTE, "route_avg_speed", "route_popularity"))
+    speeds = F.sum(F.when(F.col("speed_mph").isNotNull(), F.col("n")).otherwise(0)).alias("route_popularity")
+    if not approx and small_enough(counts):
+        return counts.groupBy(*ROUTE).agg(_exact_median().alias("route_avg_speed"), speeds)
+    medians = _speed_medians(counts, ROUTE, "route_avg_speed", df if approx else None)
+    return counts.groupBy(*ROUTE).agg(speeds).join(medians, ROUTE, "left").select(*ROUTE, "route_avg_speed", "route_popularity")
 
 
 def zone_hour_speed(df: DataFrame, approx: bool = False, counts: DataFrame | None = None) -> DataFrame:

@@ -13,8 +13,8 @@ from ride_analytics.sources.small import small_table
 def histogram(df: DataFrame, value: str, bins: int = 80) -> DataFrame:
     """Equal-width bins from minimum to maximum, the last one closed; no empty bins."""
     v = F.col(f"`{value}`").cast("double")
-    ends = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    ends = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()      # two numbers
+    lo, hi = F.lit(ends["lo"]).cast("double"), F.lit(ends["hi"]).cast("double")
     width = (hi - lo) / bins
     # A constant column has no width: everything is in the first bin.
     place = F.coalesce(F.floor(F.try_divide(v - lo, width)), F.lit(0))
@@ -56,8 +56,8 @@ def hexagons(df: DataFrame, x: str, y: str, grid: int = 60) -> DataFrame:
     cell, of which the nearer centre wins. Cells are ``lattice, i, j`` and centre."""
     across, down = grid, int(grid / math.sqrt(3))
     xv, yv = F.col(f"`{x}`").cast("double"), F.col(f"`{y}`").cast("double")
-    ends = df.agg(F.min(xv).alias("x0"), F.max(xv).alias("x1"), F.min(yv).alias("y0"), F.max(yv).alias("y1"))
-    x0, x1, y0, y1 = (ends.select(c).scalar() for c in ("x0", "x1", "y0", "y1"))
+    ends = df.agg(F.min(xv).alias("x0"), F.max(xv).alias("x1"), F.min(yv).alias("y0"), F.max(yv).alias("y1")).first()
+    x0, x1, y0, y1 = (F.lit(ends[c]).cast("double") for c in ("x0", "x1", "y0", "y1"))
     wx, wy = (x1 - x0) / across, (y1 - y0) / down
     u = F.coalesce(F.try_divide(xv - x0, wx), F.lit(0.0))
     v = F.coalesce(F.try_divide(yv - y0, wy), F.lit(0.0))

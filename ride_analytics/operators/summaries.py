@@ -11,6 +11,7 @@ from ride_analytics.functions import columns as X
 from ride_analytics.functions.bins import DISTANCE_BINS, BinSpec
 from ride_analytics.operators.cleaning import zone_names
 from ride_analytics.operators.quantiles import box_statistics, grouped_median
+from ride_analytics.sources.storage import cut
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -117,7 +118,7 @@ def rate_code_distribution(raw: DataFrame) -> DataFrame:
 
 def zone_demand(df: DataFrame, zones: DataFrame, borough: str | None, n: int = 20) -> DataFrame:
     """The ``n`` busiest and the ``n`` quietest pickup zones, named; ids break ties."""
-    counts = trips_by(df, "PULocationID")
+    counts = cut(trips_by(df, "PULocationID"))      # one pass over the trips for both ends
     ends = []
     for side, order in (("top", F.desc("trip_count")), ("bottom", F.asc("trip_count"))):
         ends.append(counts.orderBy(order, "PULocationID").limit(n).withColumn("side", F.lit(side)))

@@ -21,7 +21,8 @@ def cluster_zones(profile: DataFrame, k: int = 15, restarts: int = 10, seed: int
         return profile.withColumn("pickup_cluster", F.lit(-1))
     if zones == 1:
         return profile.withColumn("pickup_cluster", F.lit(0))
-    data = VectorAssembler(inputCols=["mean_fare", "mean_distance"], outputCol="_xy").transform(profile).coalesce(1).persist()
+    data = VectorAssembler(inputCols=["mean_fare", "mean_distance"], outputCol="_xy").transform(profile)
+    data = (data.coalesce(1) if zones <= 100_000 else data).persist()
 
     def fit(r: int):
         model = KMeans(k=min(k, zones), seed=seed + r, featuresCol="_xy", predictionCol="_c").fit(data)
