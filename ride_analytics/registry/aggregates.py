@@ -13,7 +13,7 @@ from ride_analytics.operators import quantiles as Q
 from ride_analytics.operators import screening as SC
 from ride_analytics.operators import summaries as S
 from ride_analytics.operators.ordering import number_rows, rolling_mean, smallest_prefix
-from ride_analytics.registry.base import (box_sql, case_bins, city, home, query, rounded, scored, sql, trips, values_bins,
+from ride_analytics.registry.base import (box_sql, case_bins, city, query, rounded, scored, sql, trips, values_bins,
                                           zones)
 from ride_analytics.sources.star_trips import read_table
 

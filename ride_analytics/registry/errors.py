@@ -167,9 +167,6 @@ def _runs(spark, sf):
     return out
 
 
-_LONG = "SELECT model, metric, value FROM (SELECT * FROM wide) UNPIVOT (value FOR metric IN (\"Accuracy (%)\", MAE, MedAE, RMSE, \"R²\"))"
-
-
 def _year_metrics(name, year):
     """Common table with the long metrics of one year, the same two models."""
     period = f"tpep_pickup_datetime >= TIMESTAMP '{year}-01-01' AND tpep_pickup_datetime < TIMESTAMP '{year + 1}-01-01'"
