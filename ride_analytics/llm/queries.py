@@ -1,10 +1,13 @@
 """Registered queries of the training-data operators, and their SQL."""
 
-from ride_analytics.llm import exact_dedup
+from ride_analytics.llm import exact_dedup, token_counts, warc
 
 QUERIES = {
+    "op1_warc_transactions": warc.query,
+    "op6_token_counts": token_counts.query,
     "op7_exact_dedup": exact_dedup.query,
 }
 ORACLES = {
+    "op1_warc_transactions": warc.ORACLE_SQL,
     "op7_exact_dedup": exact_dedup.ORACLE_SQL,
 }
