@@ -1,11 +1,17 @@
 """Registered queries of the training-data operators, and their SQL."""
 
-from ride_analytics.llm import exact_dedup, token_counts, warc
+from ride_analytics.llm import (
+    exact_dedup,
+    minhash,
+    token_counts,
+    warc,
+)
 
 QUERIES = {
     "op1_warc_transactions": warc.query,
     "op6_token_counts": token_counts.query,
     "op7_exact_dedup": exact_dedup.query,
+    "op9_minhash_bayes": minhash.query,
 }
 ORACLES = {
     "op1_warc_transactions": warc.ORACLE_SQL,
