@@ -3,12 +3,16 @@
 from ride_analytics.llm import (
     exact_dedup,
     minhash,
+    quality_ranker,
+    site_templates,
     token_counts,
     warc,
 )
 
 QUERIES = {
     "op1_warc_transactions": warc.query,
+    "op2_quality_ranking": quality_ranker.query,
+    "op5_site_templates": site_templates.query,
     "op6_token_counts": token_counts.query,
     "op7_exact_dedup": exact_dedup.query,
     "op9_minhash_bayes": minhash.query,
