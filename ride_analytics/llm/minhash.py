@@ -27,10 +27,10 @@ def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(hashes: np.ndarray, begin: np.ndarray, size: int) -> np.ndarray:
-    """MinHash signatures of rows that all have shingles: (rows, size) of uint32."""
-    out = np.empty((len(begin) - 1, size), np.uint32)
+    """MinHash signatures of rows that all have shingles: (rows, size) of 16 bits of each least hash."""
+    out = np.empty((len(begin) - 1, size), np.uint16)
     for k, (a, b) in enumerate(zip(*_seeds(size))):
-        out[:, k] = np.minimum.reduceat(((hashes * a + b) >> U64(32)).astype(np.uint32), begin[:-1])
+        out[:, k] = np.minimum.reduceat(((hashes * a + b) >> U64(32)).astype(np.uint32), begin[:-1]) & np.uint32(0xFFFF)
     return out
 
 
@@ -54,60 +54,38 @@ def least_matches(threshold: float, miss: float, size: int, batch: int) -> tuple
     return tuple(out)
 
 
-def survivors(left: np.ndarray, right: np.ndarray, least: tuple[int, ...], batch: int, pairs: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Of index pairs into two signature matrices, those that no batch prunes, the likeliest first."""
-    i, j = pairs
-    matches = np.zeros(len(i), np.int32)
-    for k, need in enumerate(least):
-        if not len(i):
-            break
-        at = slice(k * batch, (k + 1) * batch)
-        matches = matches + (left[i, at] == right[j, at]).sum(axis=1, dtype=np.int32)
-        keep = matches >= need
-        i, j, matches = i[keep], j[keep], matches[keep]
-    order = np.argsort(-matches, kind="stable")
-    return i[order], j[order]
+def spanning_links(n: np.ndarray, side: np.ndarray, signature: np.ndarray, threshold: float, miss: float, confirm=None) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the similar pairs of one part: pairs across its two sides, or any if it has one.
 
-
-class Forest:
-    """Union-find over the positions of one group's members."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def find(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.find(x), self.find(y)
-        self.up[max(x, y)] = min(x, y)
-        return x != y
-
-
-def spanning_links(n: np.ndarray, left: range, right: range, signature: np.ndarray, threshold: float, miss: float, confirm) -> list[tuple[int, int]]:
-    """Links of a spanning forest of the similar pairs between two ranges of one group's members (or within one).
-
-    Sizes rule out pairs first (a similarity needs sizes in that ratio), then
-    signature batches; ``confirm(i, j)`` decides on a survivor, and is asked
-    only while its ends are not yet joined.
+    A search from each member reaches its similar ones among those not reached
+    yet, so a part of copies takes a step per member and no pair is kept. Sizes
+    rule out members first (a similarity needs sizes in that ratio), then the
+    batches of the signatures; ``confirm(i, j)`` decides on a survivor.
     """
     least = least_matches(threshold, miss, signature.shape[1], BATCH)
-    forest, out = Forest(len(n)), []
-    step = max(1, (1 << 18) // max(1, len(right)))
-    for a in range(left.start, left.stop, step):
-        i = np.repeat(np.arange(a, min(a + step, left.stop)), len(right))
-        j = np.tile(np.arange(right.start, right.stop), min(a + step, left.stop) - a)
-        fit = np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9
-        if left == right:
-            fit &= i < j
-        i, j = survivors(signature, signature, least, BATCH, (i[fit], j[fit]))
-        for x, y in zip(i.tolist(), j.tolist()):
-            if forest.find(x) != forest.find(y) and confirm(x, y):
-                forest.join(x, y)
-                out.append((x, y))
+    two = side[0] != side[-1]
+    rest, out = np.ones(len(n), bool), []
+    for start in range(len(n)):
+        if not rest[start]:
+            continue
+        rest[start] = False
+        queue = [start]
+        while queue:
+            x = queue.pop()
+            at = np.flatnonzero(rest & (side != side[x])) if two else np.flatnonzero(rest)
+            at = at[np.minimum(n[at], n[x]) >= threshold * np.maximum(n[at], n[x]) - 1e-9]
+            matches = np.zeros(len(at), np.int64)
+            for k, need in enumerate(least):
+                if not len(at):
+                    break
+                own = slice(k * BATCH, (k + 1) * BATCH)
+                matches += (signature[at, own] == signature[x, own]).sum(axis=1)
+                at, matches = at[matches >= need], matches[matches >= need]
+            for y in at.tolist():
+                if confirm is None or confirm(x, y):
+                    rest[y] = False
+                    queue.append(y)
+                    out.append((x, y))
     return out
 
 
@@ -160,34 +138,54 @@ def block_pairs(members: DataFrame, group: str, order: list[str], block: int) ->
     rows = rows.withColumn("blocks", F.ceil(F.col("members") / block)).withColumn("own", F.pmod(F.xxhash64(*order), F.col("blocks")))
     other = F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     rows = rows.withColumn("other", other)
-    return (rows.withColumn("part", F.struct(group, F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")))
+    # parts that share a hash are compared as one, which only compares more
+    return (rows.withColumn("part", F.xxhash64(group, F.least("own", "other"), F.greatest("own", "other")))
             .withColumn("side", (F.col("own") > F.col("other")).cast("int")).drop("members", "blocks", "own", "other", group))
 
 
 def links_of_parts(parts: DataFrame, threshold: float, miss: float, exact: bool) -> DataFrame:
-    """Spanning links (a, b) of each pair of blocks: by signatures, or ``exact`` by whole shingle sets too."""
-
-    def link(_, frame):
-        # both sides of a pair of two blocks hold other members; equal numbers mean a block with itself
-        frame = frame.sort_values(["side", "doc_id"], kind="stable", ignore_index=True)
-        n = frame["n_shingles"].to_numpy(np.int64)
-        signature = np.frombuffer(b"".join(frame["signature"]), np.uint32).reshape(len(n), -1)
-        first = int((frame["side"] == 0).sum())
-        left, right = (range(len(n)), range(len(n))) if first in (0, len(n)) else (range(first), range(first, len(n)))
-        confirm = lambda x, y: True
-        if exact:
-            sets = [np.frombuffer(x, np.uint64) for x in frame["shingle_set"]]
+    """Spanning links (a, b) of each part: by signatures, or ``exact`` by whole shingle sets too.
 
-            def confirm(x, y):
-                shared = len(sets[x]) + len(sets[y]) - len(np.union1d(sets[x], sets[y]))
-                return 100 * shared >= round(100 * threshold) * (len(sets[x]) + len(sets[y]) - shared)
-
-        found = spanning_links(n, left, right, signature, threshold, miss, confirm)
-        ids = frame["doc_id"].to_numpy(np.int64)
-        import pandas as pd
-        return pd.DataFrame({"a": [ids[x] for x, _ in found], "b": [ids[y] for _, y in found]}, dtype="int64")
+    Partitions are sorted by part and read as a stream, so a task holds one part at a time and small parts cost little.
+    """
 
-    return parts.groupBy("part").applyInPandas(link, "a long, b long")
+    def links(rows):
+        part, ids = rows.column("part").to_numpy(), rows.column("doc_id").to_numpy()
+        n, side = rows.column("n_shingles").to_numpy(), rows.column("side").to_numpy()
+        signature = np.frombuffer(b"".join(rows.column("signature").to_pylist()), np.uint16).reshape(len(ids), -1)
+        sets = [np.frombuffer(x, np.uint64) for x in rows.column("shingle_set").to_pylist()] if exact else None
+        edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True])))
+        found = []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            confirm = None
+            if exact:
+                def confirm(x, y, base=a):
+                    x, y = sets[base + x], sets[base + y]
+                    both = np.concatenate((x, y))
+                    both.sort()
+                    shared = int((both[1:] == both[:-1]).sum())
+                    return 100 * shared >= round(100 * threshold) * (len(x) + len(y) - shared)
+            found += [(a + x, a + y) for x, y in spanning_links(n[a:b], side[a:b], signature[a:b], threshold, miss, confirm)]
+        x, y = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.RecordBatch.from_arrays([pa.array(ids[x]), pa.array(ids[y])], ["a", "b"])
+
+    def stream(reader):
+        held = None
+        for batch in reader:
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([held, rows]) if held is not None else rows
+            part = rows.column("part").to_numpy()
+            if not len(part):
+                continue
+            last = int(np.searchsorted(part, part[-1], "left"))  # the last part may go on in the next batch
+            if last:
+                yield links(rows.slice(0, last).combine_chunks())
+            held = rows.slice(last)
+        if held is not None and len(held):
+            yield links(held.combine_chunks())
+
+    columns = ["part", "side", "doc_id", "n_shingles", "signature", *(["shingle_set"] if exact else [])]
+    return parts.select(*columns).repartition("part").sortWithinPartitions("part", "side", "doc_id").mapInArrow(stream, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, miss: float = 1e-6,
@@ -222,7 +220,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = sketch.where("set_id IS NOT NULL AND doc_id IS NOT NULL").join(classes, "set_id")
     heads = members.where("doc_id = head").dropDuplicates(["doc_id"]).select("doc_id", "n_shingles", "signature")
     heads = written(heads, "minhash-heads")
-    keys = F.array(*[F.xxhash64(F.lit(k), F.substring("signature", 4 * rows * k + 1, 4 * rows)) for k in range(bands)])
+    keys = F.array(*[F.xxhash64(F.lit(k), F.substring("signature", 2 * rows * k + 1, 2 * rows)) for k in range(bands)])
     banded = heads.select("doc_id", F.explode(keys).alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     banded = cut(banded.join(shared, "band"))
