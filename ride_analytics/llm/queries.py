@@ -3,6 +3,7 @@
 from ride_analytics.llm import (
     exact_dedup,
     minhash,
+    ppm,
     quality_ranker,
     retrieval_packing,
     site_templates,
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_warc_transactions": warc.query,
     "op2_quality_ranking": quality_ranker.query,
     "op3_retrieval_packing": retrieval_packing.query,
+    "op4_partial_matching": ppm.query,
     "op5_site_templates": site_templates.query,
     "op6_token_counts": token_counts.query,
     "op7_exact_dedup": exact_dedup.query,
