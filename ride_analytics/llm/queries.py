@@ -6,6 +6,7 @@ from ride_analytics.llm import (
     ppm,
     quality_ranker,
     retrieval_packing,
+    run_index,
     site_templates,
     token_counts,
     warc,
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_token_counts": token_counts.query,
     "op7_exact_dedup": exact_dedup.query,
     "op9_minhash_bayes": minhash.query,
+    "op10_run_index": run_index.query,
 }
 ORACLES = {
     "op1_warc_transactions": warc.ORACLE_SQL,
