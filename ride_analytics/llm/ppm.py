@@ -327,21 +327,26 @@ def block_scores(blocks: DataFrame, answered: DataFrame, order: int, slices: int
                     continue
                 flags, found, begin, hashes, first = block_keys(r["flags"], r["offsets"], r["texts"], order)
                 values = []
-                for kind, keys in ((GRAM, found), (WORD, hashes >> U64(1))):
-                    keys, inverse = np.unique(keys, return_inverse=True)
+                for kind, each in ((GRAM, found), (WORD, hashes >> U64(1))):
+                    keys = np.sort(each)
+                    keys = keys[np.concatenate((keys[:1] == keys[:1], keys[1:] != keys[:-1]))]
                     own = slice_of(keys, slices) if kind == GRAM else (keys % U64(slices)).astype(np.int64)
                     value = np.zeros(len(keys), np.float32 if kind == GRAM else np.int64)
                     for s in range(slices):
                         if (kind, s) in held:
                             value[own == s] = unsqueeze(held[kind, s], value.dtype)
-                    values.append(value[inverse])
-                held = {}
+                    out = np.empty(len(each), value.dtype)
+                    for a in range(0, len(each), 1 << 19):
+                        out[a:a + (1 << 19)] = value[np.searchsorted(keys, each[a:a + (1 << 19)])]
+                    values.append(out)
+                held, found, keys, each = {}, None, None, None
                 log, count = values
+                sums = np.add.reduceat(log, begin[:-1], dtype=np.float64)
                 total = np.concatenate(([0.0], np.cumsum(base(count))))
                 known = np.concatenate(([0], np.cumsum(count > 0)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(r["ids"], pa.int64()), pa.array(~flags), pa.array(np.diff(first) + 1), pa.array(np.diff(known[first]) + int(ends > 0)),
-                     pa.array(np.full(len(flags), tokens)), pa.array(np.diff(total[first]) + base(ends)), pa.array(np.add.reduceat(log.astype(np.float64), begin[:-1]))],
+                     pa.array(np.full(len(flags), tokens)), pa.array(np.diff(total[first]) + base(ends)), pa.array(sums)],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     none = lambda *kinds: [F.lit(None).cast(t).alias(n) for n, t in kinds]

@@ -2,6 +2,7 @@
 
 from ride_analytics.llm import (
     exact_dedup,
+    latent_decontamination,
     minhash,
     ppm,
     quality_ranker,
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_site_templates": site_templates.query,
     "op6_token_counts": token_counts.query,
     "op7_exact_dedup": exact_dedup.query,
+    "op8_latent_decontamination": latent_decontamination.query,
     "op9_minhash_bayes": minhash.query,
     "op10_run_index": run_index.query,
 }
