@@ -71,6 +71,16 @@ def batches(reader: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator
             yield (part, *text_bytes(part.column(text)))
 
 
+def filter_rows(docs: DataFrame, keeps, text_col: str = "text", limit: int = 1 << 20) -> DataFrame:
+    """Rows of ``docs``, with all their columns, for whose texts ``keeps`` (bytes, offsets -> booleans) holds."""
+
+    def run(reader):
+        for part, raw, offsets in batches(reader, text_col, limit):
+            yield part.filter(pa.array(keeps(raw, offsets)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the rows after lower-casing A-Z: the lower-cased bytes, starts, ends, and
     where each row's words begin (one more than rows)."""

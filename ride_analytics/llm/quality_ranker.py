@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ride_analytics.llm.common import batches, word_hashes, words
+from ride_analytics.llm.common import batches, filter_rows, word_hashes, words
 from ride_analytics.sources.storage import written
 
 FIT_ROWS = 20_000     # labelled documents that a fit reads at most, half of each label
@@ -94,7 +94,13 @@ class Ranker:
     slope: float
     shift: float
 
+    def scores(self, rows: np.ndarray) -> np.ndarray:
+        """Scores of rows of features."""
+        z = np.clip((rows - np.array(self.mean)) / np.array(self.scale), -8, 8)
+        return 1 / (1 + np.exp(-np.clip(z @ np.array(self.weights) * self.slope + self.shift, -40, 40)))
+
     def column(self) -> F.Column:
+        """The same as a column over a table of features."""
         total = F.lit(self.shift)
         for name, mean, scale, weight in zip(FEATURES, self.mean, self.scale, self.weights):
             z = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), (F.col(f"f_{name}") - mean) / scale))
@@ -165,11 +171,22 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     empty; null and repeated ids give rows of their own; an empty table gives
     none. Only id and text of ``docs`` are read.
     """
-    table = written(features(docs, id_col, text_col), "quality-features")
-    ranker = fit_ranker(table, labels, fit_rows=fit_rows)
+    table, ranker = learn(docs, labels, id_col, text_col, fit_rows)
     return table.select("doc_id", ranker.column().alias("score"))
 
 
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", fit_rows: int = FIT_ROWS) -> tuple[DataFrame, Ranker]:
+    """The features of all documents, and the ranking that the labelled ones teach."""
+    table = written(features(docs, id_col, text_col), "quality-features")
+    return table, fit_ranker(table, labels, fit_rows=fit_rows)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.3, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose score is at least ``least``."""
+    _, ranker = learn(docs, labels, text_col=text_col)
+    return filter_rows(docs, lambda raw, offsets: ranker.scores(text_features(raw, offsets)) >= least, text_col)
+
+
 def keep_best(scores: DataFrame, share: float, accuracy: int = 10_000) -> DataFrame:
     """Rows whose score reaches the (1 - share) quantile of all scores; ties with the quantile stay."""
     bound = scores.agg(F.percentile_approx("score", 1 - share, accuracy)).first()[0]

@@ -1,5 +1,6 @@
 """Registered queries of the training-data operators, and their SQL."""
 
+from corpus_pipeline import run
 from ride_analytics.llm import (
     exact_dedup,
     latent_decontamination,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_latent_decontamination": latent_decontamination.query,
     "op9_minhash_bayes": minhash.query,
     "op10_run_index": run_index.query,
+    "pipeline": run,
 }
 ORACLES = {
     "op1_warc_transactions": warc.ORACLE_SQL,
