@@ -135,12 +135,13 @@ def sampled_attributions(model: PipelineModel, df: DataFrame, features: Sequence
                    .withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(d)))))
     mixed = paths.withColumns({f: F.when(F.array_position("_order", F.lit(i)) <= F.col("_step"), F.col(f"`{f}`"))
                                    .otherwise(F.col(f"_d{i}")) for i, f in enumerate(features)})
-    steps = model.transform(mixed).select(key, "_perm", "_step", "_order", "prediction")
-    path = Window.partitionBy(key, "_perm").orderBy("_step")      # d + 1 rows
+    steps = model.transform(mixed).select(key, "_pos", "_perm", "_step", "_order", "prediction")
+    path = Window.partitionBy("_pos", "_perm").orderBy("_step")      # d + 1 rows
     moved = (steps.withColumn("_delta", F.col("prediction") - F.lag("prediction").over(path)).where("_step > 0")
                   .withColumn("_i", F.element_at("_order", F.col("_step"))))
     names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("_i") + 1)
-    return moved.groupBy(key, names.alias("feature")).agg(F.avg("_delta").alias("attribution"))
+    # rows that share a key stay apart
+    return moved.groupBy("_pos", key, names.alias("feature")).agg(F.avg("_delta").alias("attribution")).drop("_pos")
 
 
 def learning_curve(models: dict[str, Pipeline], df: DataFrame, cfg: Config,

@@ -126,9 +126,13 @@ def best_size(errors: list[float], patience: int) -> int:
     return best + 1
 
 
-def early_stopped_boosting(pipeline: Pipeline, df: DataFrame, cfg: Config, ceiling: int = 200, patience: int = 50):
+def early_stopped_boosting(pipeline: Pipeline, df: DataFrame, cfg: Config, ceiling: int = 2000, patience: int = 50,
+                         first: int = 200):
     """Find the number of trees on a hold-out part, then fit all rows with it.
 
+    The probe has ``first`` trees, and twice as many each time its best number
+    lies within ``patience`` of its end, up to ``ceiling``.
+
     The feature stages are fitted on the remaining part only. Spark's own rule
     stops at the first small improvement, so the errors after each tree are
     taken from the model instead. Returns the model, its size and those errors.
@@ -139,9 +143,14 @@ def early_stopped_boosting(pipeline: Pipeline, df: DataFrame, cfg: Config, ceili
     prepared = Pipeline(stages=head).fit(flagged.where(~F.col("is_val")))
     both = written(prepared.transform(flagged).select("features", cfg.target, "is_val"), "early-stopping")
     train, val = both.where(~F.col("is_val")), both.where(F.col("is_val"))
-    probe = boost.copy({boost.maxIter: ceiling}).fit(train)
-    errors = [float(e) for e in probe.evaluateEachIteration(val, "squared")]
-    size = best_size(errors, patience)
+    trees = min(first, ceiling)
+    while True:
+        probe = boost.copy({boost.maxIter: trees}).fit(train)
+        errors = [float(e) for e in probe.evaluateEachIteration(val, "squared")]
+        size = best_size(errors, patience)
+        if trees >= ceiling or size + patience <= trees:
+            break
+        trees = min(2 * trees, ceiling)
     return with_params(pipeline, {"maxIter": size}).fit(df), size, errors
 
 
@@ -150,9 +159,10 @@ def tune_forest(pipeline: Pipeline, grid: dict, df: DataFrame, cfg: Config, **kw
     return model, best
 
 
-def tune_boosting(pipeline: Pipeline, grid: dict, df: DataFrame, cfg: Config, n: int = 10, ceiling: int = 200,
+def tune_boosting(pipeline: Pipeline, grid: dict, df: DataFrame, cfg: Config, n: int = 10, ceiling: int = 2000,
                   patience: int = 50, **kw) -> tuple[PipelineModel, dict]:
-    """Random search for the shape of the trees, then early stopping for their number."""
+    """Random search for the shape of the trees, then early stopping for their number, which the grid does not set."""
+    grid = {k: v for k, v in grid.items() if k != "maxIter"}
     _, best, _ = random_search(pipeline, grid, df, n, mae(cfg), cfg, **kw)
     model, size, _ = early_stopped_boosting(with_params(pipeline, best), df, cfg, ceiling, patience)
     return model, {**best, "maxIter": size}

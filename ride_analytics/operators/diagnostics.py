@@ -108,7 +108,7 @@ def worst_predictions(df: DataFrame, n: int = 15, label: str = "fare_amount", pr
     """The ``n`` largest errors, smallest of them first, tagged and labelled."""
     err = with_errors(df, label, prediction)
     worst = err.orderBy(F.desc("abs_error"), key).limit(n)
-    text = F.format_string("Dist:%.1f | Hr:%d | PU_Avg:$%.1f", F.col("trip_distance"), F.col("hour"), F.col("PU_fare_avg"))
+    text = F.format_string("%.1f miles at %d h, zone mean %.1f", F.col("trip_distance"), F.col("hour"), F.col("PU_fare_avg"))
     return (worst.select(key, label, prediction, "residual", "abs_error",
                          F.when(F.col("residual") > 0, "underpriced").otherwise("overpriced").alias("direction"),
                          text.alias("trip_label"))

@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 from ride_analytics.sources.small import small_table
 
 
+def known(column: str):
+    """The column as a double, NaN as null: neither is part of a distribution."""
+    v = F.col(f"`{column}`").cast("double")
+    return F.when(~F.isnan(v), v)
+
+
 def histogram(df: DataFrame, value: str, bins: int = 80) -> DataFrame:
     """Equal-width bins from minimum to maximum, the last one closed; no empty bins."""
-    v = F.col(f"`{value}`").cast("double")
+    v = known(value)
     ends = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()      # two numbers
     lo, hi = F.lit(ends["lo"]).cast("double"), F.lit(ends["hi"]).cast("double")
     width = (hi - lo) / bins
@@ -32,7 +38,7 @@ def density_curve(df: DataFrame, value: str, grid: int = 200, cells_per_bandwidt
     fraction of ``h`` wide, each with its count and mean; only cells meet the
     grid. The number of cells grows as ``n^(1/5)``.
     """
-    v = F.col(f"`{value}`").cast("double")
+    v = known(value)
     shape = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n"), F.stddev_samp(v).alias("s")).first()
     if not shape["n"] or not shape["s"]:
         return small_table(df.sparkSession, [], "point int, x double, density double")
@@ -55,13 +61,14 @@ def hexagons(df: DataFrame, x: str, y: str, grid: int = 60) -> DataFrame:
     """Counts per hexagonal cell: two rectangular lattices, one shifted by half a
     cell, of which the nearer centre wins. Cells are ``lattice, i, j`` and centre."""
     across, down = grid, int(grid / math.sqrt(3))
-    xv, yv = F.col(f"`{x}`").cast("double"), F.col(f"`{y}`").cast("double")
-    ends = df.agg(F.min(xv).alias("x0"), F.max(xv).alias("x1"), F.min(yv).alias("y0"), F.max(yv).alias("y1")).first()
+    xv, yv = known(x), known(y)
+    both = xv.isNotNull() & yv.isNotNull()
+    ends = df.where(both).agg(F.min(xv).alias("x0"), F.max(xv).alias("x1"), F.min(yv).alias("y0"), F.max(yv).alias("y1")).first()
     x0, x1, y0, y1 = (F.lit(ends[c]).cast("double") for c in ("x0", "x1", "y0", "y1"))
     wx, wy = (x1 - x0) / across, (y1 - y0) / down
     u = F.coalesce(F.try_divide(xv - x0, wx), F.lit(0.0))
     v = F.coalesce(F.try_divide(yv - y0, wy), F.lit(0.0))
-    placed = df.where(xv.isNotNull() & yv.isNotNull()).select(u.alias("u"), v.alias("v"))
+    placed = df.where(both).select(u.alias("u"), v.alias("v"))
     i1, j1, i2, j2 = F.rint("u"), F.rint("v"), F.floor("u"), F.floor("v")
 
     def squared(du, dv):

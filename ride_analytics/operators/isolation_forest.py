@@ -208,8 +208,10 @@ class IsolationForestModel(Model, _ForestParams):
 
     def save(self, spark: SparkSession, path: str) -> None:
         spark.createDataFrame(self.nodes, NODE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
-        meta = [(self.sample_size, self.depth, self.cutoff, self.value(self.inputCols))]
-        (spark.createDataFrame(meta, "sample_size int, depth int, cutoff double, columns array<string>")
+        meta = [(self.sample_size, self.depth, self.cutoff, self.value(self.inputCols), self.value(self.keyCol), self.value(self.scoreCol),
+                 self.value(self.predictionCol), self.value(self.contamination))]
+        (spark.createDataFrame(meta, "sample_size int, depth int, cutoff double, columns array<string>, key string, score string, "
+                                     "prediction string, contamination double")
               .coalesce(1).write.mode("overwrite").parquet(f"{path}/meta"))
 
     @classmethod
@@ -217,7 +219,8 @@ class IsolationForestModel(Model, _ForestParams):
         meta = spark.read.parquet(f"{path}/meta").first()
         nodes = spark.read.parquet(f"{path}/nodes").toPandas()
         model = cls(nodes, meta["sample_size"], meta["depth"], meta["cutoff"])
-        return model._set(inputCols=list(meta["columns"]))
+        return model._set(inputCols=list(meta["columns"]), keyCol=meta["key"], scoreCol=meta["score"], predictionCol=meta["prediction"],
+                          contamination=meta["contamination"])
 
 
 def fit_outliers(df: DataFrame, contamination: float = 0.01, seed: int = 42, key: str = "row_key") -> IsolationForestModel:

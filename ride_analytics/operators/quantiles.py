@@ -21,6 +21,7 @@ from ride_analytics.sources.storage import cut
 
 RANGES = 1024
 SMALL_ROWS = 2_000_000
+EDGE_ROWS = 500_000
 MAX_ROUNDS = 3
 APPROX_ACCURACY = 100_000
 
@@ -30,11 +31,13 @@ def small_enough(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def _size_and_edges(values: DataFrame, ranges: int) -> tuple[int, list[float]]:
-    """Row count, and values that cut the rows into about equal ranges."""
+def _edges(values: DataFrame, size: int, ranges: int) -> list[float]:
+    """Values that cut the rows into about equal ranges, from a sample of a
+    bounded number of rows: counts decide on ranks, edges only on the balance."""
     probs = [i / ranges for i in range(1, ranges)]
-    row = values.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", probs, 10 * ranges).alias("edges")).first()
-    return row["n"], sorted(set(row["edges"] or []))
+    part = values.sample(min(1.0, EDGE_ROWS / max(1, size)), 7) if size > EDGE_ROWS else values
+    row = part.agg(F.percentile_approx("_v", probs, 10 * ranges).alias("edges")).first()
+    return sorted(set(row["edges"] or []))
 
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
@@ -52,14 +55,17 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dic
                 .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
     named = [F.col("_q")[i].alias(name) for i, name in enumerate(probs)]
     listed = [float(p) for p in probs.values()]
-    if approx and weight is None:
+    if approx and weight is not None:
+        raise ValueError("the sketch takes no weights")
+    if approx:
         q = values.groupBy(*keys).agg(F.percentile_approx("_v", listed, APPROX_ACCURACY).alias("_q"))
         return q.where(F.col("_q").isNotNull()).select(*keys, *named)
-    size, edges = _size_and_edges(values, ranges)
+    size = values.count()
     if size <= small_rows:
         q = values.groupBy(*keys).agg(F.percentile("_v", F.array(*[F.lit(p) for p in listed]), F.col("_n")).alias("_q"))
         return q.where(F.col("_q").isNotNull()).select(*keys, *named)
 
+    edges = _edges(values, size, ranges)
     if not keys:
         whole = _ranked(values.withColumn("_all", F.lit(0)), ["_all"], probs, edges, small_rows, ranges)
         return whole.drop("_all")
@@ -113,7 +119,8 @@ def _values_at(values: DataFrame, keys: list[str], within: list[str], ranks: Dat
     narrowed = cut(_hits(sums, ranks, within, mark).withColumn("_left", F.col("_left") - F.col("_start")).drop("_start", "_end"))
     inner = [*within, mark]
     rest = cut(null_safe_join(_in_ranges(values, edges, mark), bounded(narrowed.select(*inner).distinct()), inner))
-    size, finer = _size_and_edges(rest, ranges)
+    size = rest.count()
+    finer = _edges(rest, size, ranges) if size > small_rows and rounds > 1 else []
     if size <= small_rows or len(finer) <= 1 or rounds == 1:
         # Few rows, or few distinct values: repeated values are merged before the shuffle.
         counts = rest.groupBy(*inner, "_v").agg(F.sum("_n").alias("_n"))

@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,23 +45,23 @@ def correlation_matrix(df: DataFrame, features: Sequence[str], target: str = "fa
                        display: bool = False) -> DataFrame:
     """Pearson correlation of every pair of features, the target left out.
 
-    One pass collects the products of all pairs; the matrix of features comes
-    back. Correlations with a constant column are null.
+    One pass for all pairs, each over the rows that have both values; one row
+    with a number per pair comes back. Correlations with a constant column are null.
     """
     cols = [c for c in features if c != target]
-    vectors = VectorAssembler(inputCols=cols, outputCol="_x", handleInvalid="skip").transform(
-        df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])).select("_x")
-    matrix = Correlation.corr(vectors, "_x").first()[0].toArray()
+    v = {c: F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double")) for c in cols}
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    row = df.agg(*[F.corr(v[cols[i]], v[cols[j]]).alias(f"{i}-{j}") for i, j in pairs]).first()
+    value = {p: x for p, x in zip(pairs, row) if x is not None and not math.isnan(x)}
     name = display_name if display else (lambda c: c)
-    rows = [(name(a), name(b), None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
-            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    rows = [(name(a), name(b), value.get((min(i, j), max(i, j)))) for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return small_table(df.sparkSession, rows, "x string, y string, corr double")
 
 
 def fit_components(df: DataFrame, features: Sequence[str]):
-    """Assemble, standardize and rotate; all columns kept as components."""
+    """Assemble, standardize and rotate; all columns kept as components. A missing value is an error."""
     return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="_raw", handleInvalid="skip"),
+        VectorAssembler(inputCols=list(features), outputCol="_raw", handleInvalid="error"),
         StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
         PCA(k=len(features), inputCol="_scaled", outputCol="scores"),
     ]).fit(df)

@@ -135,8 +135,9 @@ def zone_map_table(df: DataFrame, zones: DataFrame, borough: str | None = None)
 
 
 def value_range(df: DataFrame, *columns: str) -> DataFrame:
-    """Common minimum and maximum of columns, and the axis limit above them."""
-    lo, hi = [F.min(c) for c in columns], [F.max(c) for c in columns]
+    """Common minimum and maximum of columns, and the axis limit above them. NaN counts as null."""
+    known = [F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`")) for c in columns]
+    lo, hi = [F.min(c) for c in known], [F.max(c) for c in known]
     low = F.least(*lo) if len(lo) > 1 else lo[0]
     high = F.greatest(*hi) if len(hi) > 1 else hi[0]
     return df.agg(low.alias("low"), high.alias("high"), X.view_cap(high).alias("view_cap"))

@@ -13,7 +13,7 @@ from ride_analytics.operators.cleaning import clean_trips
 from ride_analytics.operators.feature_tables import FeatureTables, apply_feature_tables, fit_feature_tables
 from ride_analytics.operators.isolation_forest import IsolationForestModel, fit_outliers, inliers
 from ride_analytics.operators.sampling import KEY, balance_classes, with_fold, with_test_flag
-from ride_analytics.sources.storage import cached_table, exists, fresh_path
+from ride_analytics.sources.storage import cached_table, exists, fingerprint, fresh_path
 
 
 @dataclass
@@ -40,13 +40,13 @@ def prepare(trips: DataFrame, zones: DataFrame, holidays: DataFrame, cfg: Config
     """Clean, drop outliers, split, learn the feature tables from the training
     part, look them up for both parts, balance the training part, assign folds.
 
-    Everything is written under ``root`` and a key of the settings; a second
-    call with the same settings reads it back.
+    Everything is written under ``root`` and a key of the settings and the
+    input; a second call with the same of both reads it back.
     """
     spark = trips.sparkSession
-    base = f"{root or fresh_path(spark, 'prepared')}/{cfg.key()}"
-    # Not stored: cleaning is a filter and map-side lookups over the columns in use.
-    clean = clean_trips(trips, zones, holidays, cfg)
+    base = f"{root or fresh_path(spark, 'prepared')}/{cfg.key()}-{fingerprint(trips, zones, holidays)}"
+    # Stored once: forest, cut-off and split each read it.
+    clean = cached_table(spark, base, "clean", lambda: clean_trips(trips, zones, holidays, cfg))
     if exists(spark, f"{base}/forest/meta/_SUCCESS"):
         forest = IsolationForestModel.load(spark, f"{base}/forest")
     else:
@@ -83,7 +83,7 @@ def training_rows(train: DataFrame, tables: FeatureTables, cfg: Config) -> DataF
     return with_fold(rows, cfg.folds, key)
 
 
-def load_prepared(spark: SparkSession, cfg: Config, root: str) -> Prepared:
-    base = f"{root}/{cfg.key()}"
+def load_prepared(spark: SparkSession, base: str) -> Prepared:
+    """The tables that ``prepare`` left in ``Prepared.root``."""
     return Prepared(spark.read.parquet(f"{base}/train"), spark.read.parquet(f"{base}/test"),
                     FeatureTables.load(spark, f"{base}/tables"), IsolationForestModel.load(spark, f"{base}/forest"), base)

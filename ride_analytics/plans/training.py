@@ -30,16 +30,24 @@ def train_and_evaluate(data: Prepared, cfg: Config, root: str, run: str = "basel
                        forest_grid: dict = FOREST_GRID, boost_grid: dict = BOOST_GRID, forest_rows: int = 150_000,
                        quick_rows: int = 20_000, **boost) -> tuple[dict, dict[str, PipelineModel]]:
     """Quick comparison, deep tuning of forest and boosted trees (or their saved
-    models), metrics of both on the test part, appended to the metrics table."""
+    models), metrics of both on the test part, in the metrics table.
+
+    The forest's grid is searched on ``forest_rows`` rows; the best point is
+    then fitted on all rows.
+    """
     spark = data.train.sparkSession
     shoot_out = tuning.quick_comparison(models or estimators.default_models(cfg), data.train, cfg, quick_rows)
-    part = written(sample_rows(data.train, forest_rows), "forest-rows")
-    forest, forest_params = load_or_tune(
-        spark, root, "random_forest",
-        lambda: tuning.tune_forest(estimators.random_forest(cfg), forest_grid, part, cfg))
+    seen = (cfg.key(), data.root)
+
+    def tune_forest():
+        part = written(sample_rows(data.train, forest_rows).repartition(spark.sparkContext.defaultParallelism), "forest-rows")
+        _, best = tuning.tune_forest(estimators.random_forest(cfg), forest_grid, part, cfg)
+        return tuning.with_params(estimators.random_forest(cfg), best).fit(data.train), best
+
+    forest, forest_params = load_or_tune(spark, root, "random_forest", tune_forest, (*seen, forest_grid, forest_rows))
     boosted, boost_params = load_or_tune(
         spark, root, "boosted_trees",
-        lambda: tuning.tune_boosting(estimators.boosted_trees(cfg), boost_grid, data.train, cfg, **boost))
+        lambda: tuning.tune_boosting(estimators.boosted_trees(cfg), boost_grid, data.train, cfg, **boost), (*seen, boost_grid, boost))
     fitted = {"Random Forest": forest, "Boosted Trees": boosted}
     metrics = written(evaluate(fitted, data.test, cfg), "metrics")
     append_metrics(to_long(metrics), f"{root}/metrics", run)
@@ -47,12 +55,12 @@ def train_and_evaluate(data: Prepared, cfg: Config, root: str, run: str = "basel
             "params": {"Random Forest": forest_params, "Boosted Trees": boost_params}}, fitted
 
 
-def diagnose(models: dict[str, PipelineModel], data: Prepared, cfg: Config, sample: int = 50_000) -> dict[str, dict[str, DataFrame]]:
+def diagnose(models: dict[str, PipelineModel], data: Prepared, cfg: Config) -> dict[str, dict[str, DataFrame]]:
     """Per model: densities, residual ranges, worst trips, error maps, zones."""
     out = {}
     for name, model in models.items():
         scored = written(model.transform(data.test).select(*data.test.columns, "prediction"), "scored")
-        part = sample_rows(scored, sample).withColumn("residual", residual(cfg.target, "prediction"))
+        part = scored.withColumn("residual", residual(cfg.target, "prediction"))
         out[name] = {
             "actual_vs_predicted": H.hexagons(part, cfg.target, "prediction", 60),
             "residual_histogram": H.histogram(part, "residual"),

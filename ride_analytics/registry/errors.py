@@ -135,7 +135,7 @@ def _(spark, sf):
 
 @query("worst_predictions", sql("""SELECT row_key, fare_amount, prediction, residual, abs_error,
     CASE WHEN residual > 0 THEN 'underpriced' ELSE 'overpriced' END AS direction,
-    printf('Dist:%.1f | Hr:%d | PU_Avg:$%.1f', trip_distance, "hour", PU_fare_avg) AS trip_label
+    printf('%.1f miles at %d h, zone mean %.1f', trip_distance, "hour", PU_fare_avg) AS trip_label
   FROM scored JOIN (SELECT PULocationID AS k, avg(fare_amount) AS PU_fare_avg FROM scored GROUP BY 1) ON PULocationID = k
   ORDER BY abs_error DESC, row_key LIMIT 15""", doubles=["prediction", "residual", "abs_error"]))
 def _(spark, sf):

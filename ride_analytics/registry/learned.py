@@ -22,13 +22,16 @@ from ride_analytics.operators import screening as SC
 from ride_analytics.operators import summaries as S
 from ride_analytics.operators.zone_clusters import cluster_zones
 from ride_analytics.plans import drift, exploration, prepare, training
-from ride_analytics.registry.base import check_holidays, city, query, rounded, sql, trips, zones
+from ride_analytics.functions.bins import FARE_CLASSES
+from ride_analytics.registry.base import case_bins, check_holidays, city, query, rounded, sql, trips, zones
 from ride_analytics.sources import storage
 from ride_analytics.sources.trips import in_months
 
-# Smaller than the defaults of the library, to keep the checks short; the rows are not reduced.
-CFG = Config(home_borough=None, feature_mode="FULL", zone_clusters=5, cluster_restarts=2, folds=3, balance_target=4_000)
+# All training rows, with the defaults of the library for clusters and folds. How many trees a query grows, and how
+# deep, is a parameter of these queries; it leaves out no row.
+CFG = Config(home_borough=None, feature_mode="FULL", balance=False)
 FOREST = {"numTrees": 10, "maxDepth": 5}
+TARGET = 30_000   # rows of each class after balancing
 BOOST = {"maxIter": 8, "maxDepth": 3, "stepSize": 0.3}
 
 
@@ -78,12 +81,30 @@ def _(spark, sf):
     return IF.inliers(flagged(spark, sf)).select("row_key", "fare_amount", "trip_distance")
 
 
-@query("inlier_and_outlier_counts", sql("SELECT count(*) AS trips FROM city"))
+@query("inlier_and_outlier_counts", sql("SELECT count(*) AS trips, count(DISTINCT row_key) AS keys, true AS share_as_set, true AS scores_agree FROM city"))
 def _(spark, sf):
-    """Inliers and outliers together are all clean trips."""
-    df = flagged(spark, sf)
+    """Inliers and outliers together are all clean trips; at most the set share is flagged, less only by ties of the
+    cut-off, and every outlier scores above every inlier."""
+    df = storage.written(flagged(spark, sf), "flagged")
+    n, most, top, low = df.agg(F.count(F.lit(1)), F.count_if("`is outlier`"), F.max(F.when(~F.col("is outlier"), F.col("outlier score"))),
+                               F.min(F.when(F.col("is outlier"), F.col("outlier score")))).first()
+    tied = df.where(F.col("outlier score") == F.lit(top)).count()
     both = IF.inliers(df).select("row_key").unionByName(IF.outliers(df).select("row_key"))
-    return both.agg(F.count(F.lit(1)).alias("trips"))
+    share = CFG.contamination
+    return both.agg(F.count(F.lit(1)).alias("trips"), F.countDistinct("row_key").alias("keys"),
+                    F.lit(share * n - tied - 1 <= most <= share * n + 1).alias("share_as_set"), F.lit(low is None or low > top).alias("scores_agree"))
+
+
+@query("reloaded_forest_flags", sql("SELECT count(*) AS trips, 0 AS differ FROM city"))
+def _(spark, sf):
+    """A forest read back from disk flags the same trips, under its own column names."""
+    df = storage.written(city(spark, sf), "clean")
+    model = IF.IsolationForest(contamination=0.02, keyCol="row_key", scoreCol="s", predictionCol="odd").fit(df)
+    path = storage.fresh_path(spark, "forest")
+    model.save(spark, path)
+    again = IF.IsolationForestModel.load(spark, path)
+    both = model.transform(df).select("row_key", "s", "odd").join(again.transform(df).select("row_key", F.col("s").alias("t"), F.col("odd").alias("odd2")), "row_key")
+    return both.agg(F.count(F.lit(1)).alias("trips"), F.count_if((F.col("s") != F.col("t")) | (F.col("odd") != F.col("odd2"))).cast("int").alias("differ"))
 
 
 @query("paired_outlier_sample", None)
@@ -145,13 +166,31 @@ def _(spark, sf):
     return prepared(spark, sf).test
 
 
-@query("balanced_class_sizes", sql("""SELECT class, CAST(4000 AS BIGINT) AS n FROM (VALUES ('L'), ('M'), ('H'), ('P')) AS c(class)
-  WHERE EXISTS (SELECT 1 FROM city)"""))
+@query("balanced_class_sizes", sql(f"""SELECT {case_bins("fare_amount", FARE_CLASSES)} AS class, CAST({TARGET} AS BIGINT) AS n,
+    CASE WHEN count(*) >= {TARGET} THEN CAST({TARGET} AS BIGINT) ELSE CAST(0 AS BIGINT) END AS originals
+  FROM city GROUP BY 1 HAVING class IS NOT NULL"""))
 def _(spark, sf):
-    """Each class of the training part has exactly the target size."""
-    from ride_analytics.functions.bins import FARE_CLASSES
-    return (prepared(spark, sf).train.groupBy(FARE_CLASSES.label(F.col("fare_amount")).alias("class"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    """Each class has exactly the target size: its own rows where it has enough, else drawn copies."""
+    df = SA.balance_classes(city(spark, sf).select("row_key", "fare_amount", "trip_distance"), TARGET)
+    return (df.groupBy(FARE_CLASSES.label(F.col("fare_amount")).alias("class"))
+            .agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.when(F.col("copy") == 0, F.col("row_key"))).alias("originals")))
+
+
+@query("prepared_parts", sql("""SELECT years, count(*) AS rows_in_split, count(DISTINCT row_key) AS keys FROM (
+    SELECT CASE WHEN tpep_pickup_datetime < TIMESTAMP '1997-01-01' THEN 1996 ELSE 2000 END AS years, row_key FROM city
+    WHERE (tpep_pickup_datetime >= TIMESTAMP '1996-01-01' AND tpep_pickup_datetime < TIMESTAMP '1997-01-01')
+       OR (tpep_pickup_datetime >= TIMESTAMP '2000-01-01' AND tpep_pickup_datetime < TIMESTAMP '2001-01-01')) GROUP BY 1"""))
+def _(spark, sf):
+    """Two years prepared under one root: each gets its own trips back, none lost but the outliers the forest names."""
+    root, out = storage.fresh_path(spark, "two-years"), None
+    for year in (1996, 2000):
+        data = prepare.prepare(years(trips(spark, sf), year), zones(spark, sf), check_holidays(spark), CFG, root)
+        clean = spark.read.parquet(f"{data.root}/clean")
+        flagged_rows = data.forest.transform(clean).where(F.col("is outlier")).select("row_key")
+        keys = data.train.select("row_key").unionByName(data.test.select("row_key")).unionByName(flagged_rows)
+        one = keys.agg(F.lit(year).alias("years"), F.count(F.lit(1)).alias("rows_in_split"), F.countDistinct("row_key").alias("keys"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("out_of_fold_zone_fares", sql("""SELECT c.row_key, coalesce((z.s - f.s) / nullif(z.n - f.n, 0), (a.s - o.s) / nullif(a.n - o.n, 0)) AS PU_fare_oof
@@ -181,6 +220,53 @@ for _kind in ("linear", "elastic", "forest", "boosted"):
         return fitted(spark, sf, kind).transform(prepared(spark, sf).test).select("row_key", "fare_amount", "prediction")
 
 
+@query("least_squares_residuals", sql("SELECT 'all' AS part, 0.0 AS mean_residual, 0.0 AS residual_times_distance FROM city LIMIT 1",
+       doubles=["mean_residual", "residual_times_distance"]))
+def _(spark, sf):
+    """Least squares leave residuals over the training part that average to 0 and are orthogonal to a feature."""
+    scored = fitted(spark, sf, "linear").transform(prepared(spark, sf).train).withColumn("r", F.col("fare_amount") - F.col("prediction"))
+    clean = lambda c: F.round(c, 4) + 0.0  # noqa: E731  no negative zero
+    return scored.agg(F.lit("all").alias("part"), clean(F.avg("r")).alias("mean_residual"),
+                      clean(F.avg(F.col("r") * F.log1p("trip_distance"))).alias("residual_times_distance"))
+
+
+@query("component_norms", sql(f"""SELECT i AS component, 1.0 AS squared_length FROM range(1, {len(SCREENED) + 1}) AS g(i) WHERE EXISTS (SELECT 1 FROM city)""",
+       doubles=["squared_length"]))
+def _(spark, sf):
+    """The loadings of each component have length 1."""
+    table = SC.component_loadings(storage.written(city(spark, sf), "clean"), SCREENED)
+    return table.groupBy(F.col("component").cast("bigint").alias("component")).agg(F.round(F.sum(F.col("loading") ** 2), 6).alias("squared_length"))
+
+
+@query("zones_in_clusters", sql("SELECT PULocationID, 1 AS clusters, true AS in_range FROM city GROUP BY 1"))
+def _(spark, sf):
+    """Every zone is in exactly one of the clusters."""
+    profile = storage.written(S.zone_profile(city(spark, sf)), "zone-profile")
+    table = cluster_zones(profile, CFG.zone_clusters, CFG.cluster_restarts)
+    return table.groupBy("PULocationID").agg(F.countDistinct("pickup_cluster").cast("int").alias("clusters"),
+                                             F.min(F.col("pickup_cluster").between(0, CFG.zone_clusters - 1)).alias("in_range"))
+
+
+@query("saved_model_difference", sql("SELECT 'forest' AS model, 0.0 AS largest_difference FROM city LIMIT 1", doubles=["largest_difference"]))
+def _(spark, sf):
+    """A model read back predicts what the fitted one does."""
+    path, model, test = storage.fresh_path(spark, "model"), fitted(spark, sf, "forest"), prepared(spark, sf).test
+    storage.save_model(model, path)
+    both = (model.transform(test).select("row_key", "prediction")
+            .join(storage.load_model(path).transform(test).select("row_key", F.col("prediction").alias("again")), "row_key"))
+    return both.agg(F.lit("forest").alias("model"), F.max(F.abs(F.col("prediction") - F.col("again"))).alias("largest_difference"))
+
+
+@query("importance_totals", sql("""SELECT model AS "Model", 100.0 AS total FROM (VALUES ('Linear Baseline'), ('Random Forest'), ('Boosted Trees')) AS m(model)
+  WHERE EXISTS (SELECT 1 FROM city)""", doubles=["total"]))
+def _(spark, sf):
+    """The importances of every model sum to 100."""
+    models = _three(spark, sf)
+    linear = models.pop("Linear Baseline")
+    table = training.explain(linear, models, prepared(spark, sf), CFG)["importances"]
+    return table.groupBy("Model").agg(F.round(F.sum("Importance (%)"), 6).alias("total"))
+
+
 @query("linear_coefficients", None)
 def _(spark, sf):
     return E.coefficients(spark, fitted(spark, sf, "linear"), CFG)
@@ -293,7 +379,7 @@ def _(spark, sf):
 
 @query("sampled_attributions", None)
 def _(spark, sf):
-    return I.sampled_attributions(fitted(spark, sf, "boosted"), prepared(spark, sf).test, CFG.features, CFG, rows=50, permutations=5)
+    return I.sampled_attributions(fitted(spark, sf, "boosted"), prepared(spark, sf).test, CFG.features, CFG, rows=100, permutations=10)
 
 
 @query("learning_curve", None)
@@ -314,7 +400,7 @@ def _(spark, sf):
 @query("explore_figures", None)
 def _(spark, sf):
     """Row counts of the data sets behind the figures."""
-    tables = exploration.figures(explored(spark, sf), sample=2_000)
+    tables = exploration.figures(explored(spark, sf))
     counts = [(name, t.count()) for name, t in tables.items()]
     return T.small_table(spark, counts, "figure string, n bigint")
 
@@ -348,9 +434,24 @@ def _(spark, sf):
 
 @query("drift_between_years", None)
 def _(spark, sf):
-    """Models of all trips against trips of the later year."""
-    data = prepared(spark, sf)
-    models = {"Random Forest": fitted(spark, sf, "forest"), "Boosted Trees": fitted(spark, sf, "boosted")}
+    """Models of the trips of 1996 against those of 2000."""
+    return drifted(spark, sf)["comparison"]
+
+
+@query("drift_error_heatmap", None)
+def _(spark, sf):
+    return drifted(spark, sf)["Random Forest"]["error_heatmap"]
+
+
+@query("drift_residual_trend", None)
+def _(spark, sf):
+    return drifted(spark, sf)["Random Forest"]["trend"]
+
+
+def drifted(spark, sf):
+    root = _prepared_root(spark.sparkContext.applicationId, sf)
+    data = prepare.prepare(years(trips(spark, sf), 1996), zones(spark, sf), check_holidays(spark), CFG, root)
+    models = {"Random Forest": E.random_forest(CFG, **FOREST).fit(data.train), "Boosted Trees": E.boosted_trees(CFG, **BOOST).fit(data.train)}
     baseline = drift.to_long(training.evaluate(models, data.test, CFG))
     later = drift.later_period(years(trips(spark, sf), 2000), zones(spark, sf), check_holidays(spark), data.tables, CFG)
-    return drift.drift_test(later, models, baseline, CFG)["comparison"]
+    return drift.drift_test(later, models, baseline, CFG)

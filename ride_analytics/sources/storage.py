@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -55,9 +56,30 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def cached_table(spark: SparkSession, root: str, key: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Table of an earlier run with the same key, else built and written now."""
-    path = f"{root}/{key}"
+def fingerprint(*inputs: DataFrame) -> str:
+    """Digest that changes with the data behind ``inputs``.
+
+    A table read from files stands for its plan and the names, sizes and times
+    of its files; any other for the number of its rows and a sum of their hashes.
+    """
+    parts = []
+    for df in inputs:
+        files = sorted(df.inputFiles())
+        if files:
+            parts.append(df._jdf.queryExecution().optimizedPlan().canonicalized().toString())
+            conf, paths = df.sparkSession._jsc.hadoopConfiguration(), df.sparkSession._jvm.org.apache.hadoop.fs.Path
+            for name in files:
+                status = paths(name).getFileSystem(conf).getFileStatus(paths(name))
+                parts.append(f"{name}:{status.getLen()}:{status.getModificationTime()}")
+        else:
+            row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
+            parts.append(f"{df.schema.simpleString()}:{row[0]}:{row[1]}")
+    return hashlib.md5("\n".join(parts).encode()).hexdigest()[:16]
+
+
+def cached_table(spark: SparkSession, root: str, key: str, build: Callable[[], DataFrame], inputs: Sequence[DataFrame] = ()) -> DataFrame:
+    """Table of an earlier run with the same key and the same ``inputs``, else built and written now."""
+    path = f"{root}/{key}" + (f"-{fingerprint(*inputs)}" if inputs else "")
     if not exists(spark, f"{path}/_SUCCESS"):
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -71,8 +93,12 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def load_or_tune(spark: SparkSession, root: str, name: str, tune: Callable[[], tuple]) -> tuple:
-    """Fitted model and parameters from disk, else from ``tune()`` and saved."""
+def load_or_tune(spark: SparkSession, root: str, name: str, tune: Callable[[], tuple], key: object = None) -> tuple:
+    """Fitted model and parameters from disk, else from ``tune()`` and saved.
+
+    ``key`` is all that the model depends on: settings, grid, training data.
+    """
+    name = f"{name}_{hashlib.md5(repr(key).encode()).hexdigest()[:16]}"
     model_path, params_path = f"{root}/{name}_model", f"{root}/{name}_params"
     if exists(spark, f"{params_path}/_SUCCESS"):
         return load_model(model_path), load_params(spark, params_path)
@@ -92,8 +118,9 @@ def load_params(spark: SparkSession, path: str) -> dict:
 
 
 def append_metrics(metrics: DataFrame, root: str, run: str) -> None:
-    """``metrics`` is long: model, metric, value. One partition folder per run."""
-    (metrics.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(root))
+    """``metrics`` is long: model, metric, value. One partition folder per run, which a rerun replaces."""
+    (metrics.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("run").parquet(root))
 
 
 def load_metrics(spark: SparkSession, root: str, run: str | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +69,8 @@ def load_trips(spark: SparkSession, paths, months: Sequence[str] | None = None,
     row-group statistics can skip on.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if len(paths) > 1:  # months may differ in types and order of columns: each by its own schema
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (load_trips(spark, p, months, cfg) for p in paths))
     raw = spark.read.parquet(*paths)
     require_columns(raw, cfg.required_columns)
     if months is not None:

@@ -31,7 +31,7 @@ def test_prepared_parts(spark, data, known, known_zones, known_holidays):
     train_keys, test_keys = data.train.select("row_key").distinct(), data.test.select("row_key")
     assert train_keys.join(test_keys, "row_key").count() == 0
     assert data.train.groupBy("row_key").agg(F.countDistinct("fold").alias("n")).where("n > 1").count() == 0
-    again = prepare.load_prepared(spark, CFG, data.root.rsplit("/", 1)[0])
+    again = prepare.load_prepared(spark, data.root)
     assert again.train.count() == data.train.count()
     legacy = Config(**{**CFG.__dict__, "legacy_folds": True})
     rows = prepare.training_rows(known_clean(known, known_zones, known_holidays), data.tables, legacy)
