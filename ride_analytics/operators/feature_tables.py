@@ -5,18 +5,19 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ride_analytics.config import Config
 from ride_analytics.functions import columns as X
-from ride_analytics.operators.joins import bounded
-from ride_analytics.operators.quantiles import grouped_median, small_enough
+from ride_analytics.operators.joins import bounded, null_safe_join
+from ride_analytics.operators.quantiles import grouped_median
 from ride_analytics.operators.zone_clusters import cluster_zones
 from ride_analytics.sources.storage import cut, fresh_path, written
 
 ROUTE = ["PULocationID", "DOLocationID", "hour"]
 ZONE_HOUR = ["PULocationID", "hour"]
+GROUP_ROWS = 1_000_000    # speeds of a route that one task may sort
 
 
 def with_speed(df: DataFrame) -> DataFrame:
@@ -24,47 +25,50 @@ def with_speed(df: DataFrame) -> DataFrame:
     return df.withColumn("speed_mph", X.speed_mph(F.col("trip_distance"), hours))
 
 
-def speed_counts(df: DataFrame) -> DataFrame:
-    """Trips as counts and sums per route, hour and speed: the one pass over the
-    trips from which all tables below follow."""
-    return cut(with_speed(df).groupBy(*ROUTE, "speed_mph").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("fare_amount").alias("fare"), F.sum("trip_distance").alias("miles")))
+def route_sums(df: DataFrame) -> DataFrame:
+    """Counts and sums per route and hour, merged before the shuffle: all means
+    follow from them, and how many speeds a route has."""
+    return cut(with_speed(df).groupBy(*ROUTE).agg(
+        F.count(F.lit(1)).alias("n"), F.count("speed_mph").alias("speeds"), F.sum("fare_amount").alias("fare"), F.sum("trip_distance").alias("miles")))
 
 
-def _exact_median() -> Column:
-    return F.percentile("speed_mph", F.lit(0.5), F.when(F.col("speed_mph").isNotNull(), F.col("n")).otherwise(0))
+def _speeds(df: DataFrame) -> DataFrame:
+    return with_speed(df).select(*ROUTE, "speed_mph")
 
 
-def _speed_medians(counts: DataFrame, keys: list[str], median: str, approx_from: DataFrame | None = None) -> DataFrame:
-    """Groups with only null speeds stay, with a null median."""
-    if approx_from is not None:
-        med = grouped_median(with_speed(approx_from), keys, "speed_mph", median, approx=True)
-    elif small_enough(counts):
-        # Checked bound: a group holds no more distinct speeds than the table.
-        return counts.groupBy(*keys).agg(_exact_median().alias(median))
-    else:
-        med = grouped_median(counts, keys, "speed_mph", median, weight="n")
-    return counts.select(*keys).distinct().join(med, keys, "left") if keys else med
+def route_stats(df: DataFrame, approx: bool = False, sums: DataFrame | None = None) -> DataFrame:
+    """Median speed and number of speeds per pickup, dropoff and hour.
 
+    A route of at most ``GROUP_ROWS`` speeds, by count, has its median in the one
+    shuffle of the trips by route; larger ones are narrowed down. Routes with
+    only null speeds stay, with a null median.
+    """
+    sums = route_sums(df) if sums is None else sums
+    rows, median = _speeds(df), F.percentile("speed_mph", F.lit(0.5)).alias("route_avg_speed")
+    large = sums.where(F.col("speeds") > GROUP_ROWS).select(*ROUTE)
+    if approx:
+        medians = grouped_median(rows, ROUTE, "speed_mph", "route_avg_speed", approx=True)
+    elif large.isEmpty():
+        medians = rows.groupBy(*ROUTE).agg(median)
+    else:
+        def in_large(how):
+            return null_safe_join(rows, bounded(large), ROUTE, how)
 
-def route_stats(df: DataFrame, approx: bool = False, counts: DataFrame | None = None) -> DataFrame:
-    """Median speed and number of speeds per pickup, dropoff and hour."""
-    counts = speed_counts(df) if counts is None else counts
-    speeds = F.sum(F.when(F.col("speed_mph").isNotNull(), F.col("n")).otherwise(0)).alias("route_popularity")
-    if not approx and small_enough(counts):
-        return counts.groupBy(*ROUTE).agg(_exact_median().alias("route_avg_speed"), speeds)
-    medians = _speed_medians(counts, ROUTE, "route_avg_speed", df if approx else None)
-    return counts.groupBy(*ROUTE).agg(speeds).join(medians, ROUTE, "left").select(*ROUTE, "route_avg_speed", "route_popularity")
+        medians = in_large("left_anti").groupBy(*ROUTE).agg(median).unionByName(
+            grouped_median(in_large("left_semi"), ROUTE, "speed_mph", "route_avg_speed"))
+    return null_safe_join(sums.select(*ROUTE, F.col("speeds").alias("route_popularity")), medians, ROUTE, "left").select(
+        *ROUTE, "route_avg_speed", "route_popularity")
 
 
-def zone_hour_speed(df: DataFrame, approx: bool = False, counts: DataFrame | None = None) -> DataFrame:
-    counts = speed_counts(df) if counts is None else counts
-    return _speed_medians(counts, ZONE_HOUR, "zone_hour_speed", df if approx else None)
+def zone_hour_speed(df: DataFrame, approx: bool = False, sums: DataFrame | None = None) -> DataFrame:
+    """Median speed per pickup zone and hour; those with only null speeds stay, with a null median."""
+    sums = route_sums(df) if sums is None else sums
+    medians = grouped_median(_speeds(df), ZONE_HOUR, "speed_mph", "zone_hour_speed", approx=approx)
+    return null_safe_join(sums.select(*ZONE_HOUR).distinct(), medians, ZONE_HOUR, "left").select(*ZONE_HOUR, "zone_hour_speed")
 
 
-def global_speed(df: DataFrame, approx: bool = False, counts: DataFrame | None = None) -> DataFrame:
-    counts = speed_counts(df) if counts is None else counts
-    return _speed_medians(counts, [], "median_speed", df if approx else None)
+def global_speed(df: DataFrame, approx: bool = False) -> DataFrame:
+    return grouped_median(_speeds(df), [], "speed_mph", "median_speed", approx=approx)
 
 
 @dataclass
@@ -92,21 +96,19 @@ class FeatureTables:
 
 
 def learn_tables(train: DataFrame, cfg: Config = Config()) -> dict[str, DataFrame]:
-    """All tables but the clusters, from one pass over the trips. Zone means come
-    from the sums per route, medians from the counts per speed."""
-    counts = speed_counts(train)
-    sums = cut(counts.groupBy(*ROUTE).agg(F.sum("n").alias("n"), F.sum("fare").alias("fare"), F.sum("miles").alias("miles")))
+    """All tables but the clusters. Zone means come from the sums per route and hour."""
+    sums = route_sums(train)
 
     def mean(total, name):
         return (F.sum(total) / F.sum("n")).alias(name)
 
-    overall = global_speed(train, cfg.approx_medians, counts).select("median_speed").scalar()
+    overall = global_speed(train, cfg.approx_medians).select("median_speed").scalar()
     return {
         "pu_fare": sums.groupBy("PULocationID").agg(mean("fare", "PU_fare_avg")),
         "do_fare": sums.groupBy("DOLocationID").agg(mean("fare", "DO_fare_avg")),
         "profile": sums.groupBy("PULocationID").agg(mean("fare", "mean_fare"), mean("miles", "mean_distance")),
-        "route_stats": route_stats(train, cfg.approx_medians, counts),
-        "zone_hour_speed": zone_hour_speed(train, cfg.approx_medians, counts),
+        "route_stats": route_stats(train, cfg.approx_medians, sums),
+        "zone_hour_speed": zone_hour_speed(train, cfg.approx_medians, sums),
         "globals": sums.agg(mean("fare", "mean_fare")).select("mean_fare", overall.alias("median_speed")),
     }
 

@@ -29,7 +29,7 @@ def train(spark):
 @pytest.mark.parametrize("small", [True, False])
 def test_fallback_chain(spark, train, tmp_path, monkeypatch, small):
     if not small:
-        monkeypatch.setattr(FT, "small_enough", lambda df: False)
+        monkeypatch.setattr(FT, "GROUP_ROWS", 1)
     tables = FT.fit_feature_tables(train, CFG, str(tmp_path / "t"))
     new = small_table(spark, [trip("a", 1, 1, 8, 0.0, 1.0, 1), trip("b", 1, 2, 8, 0.0, 1.0, 1), trip("c", 2, 2, 9, 0.0, 1.0, 1),
                               trip("d", 9, 9, 3, 0.0, 1.0, 1)], DDL)
