@@ -29,12 +29,14 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null, empty and blank texts are one group. Of rows that repeat id and text one stays.
     """
-    found = exact_dedup.exact_duplicates(docs).where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("rows"))
+    found = written(exact_dedup.exact_duplicates(docs).where("kept").groupBy(F.col("doc_id").alias("keep"), "text_sha256").agg(F.count("*").alias("rows")),
+                    "kept-texts").alias("k")
     norm = exact_dedup.normalised(F.col("d.text"))
-    found = found.select(F.col("doc_id").alias("keep"), "text_sha256", "rows").alias("k")
     kept = docs.alias("d").withColumn("__digest", F.sha2(norm.cast("binary"), 256)).join(
         found, (F.col("__digest") == F.col("k.text_sha256")) & F.col("d.doc_id").cast("long").eqNullSafe(F.col("k.keep")))
     one = kept.where("k.rows = 1").select("d.*")
+    if found.where("rows > 1").isEmpty():
+        return one
     # rows that repeat id and text: the longest text, then the first in order
     again = kept.where("k.rows > 1").withColumn("__length", F.length(F.coalesce("d.text", F.lit(""))))
     columns = [F.col(f"d.`{c}`") for c in docs.columns]
