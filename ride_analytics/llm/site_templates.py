@@ -21,7 +21,9 @@ PROSE = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th ar
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|banner|promo\w*|cookies?|consent|notice|gdpr|popup|modal|overlay|newsletter|subscribe|"
                    r"sidebar|side-?bar|menu|nav\w*|breadcrumbs?|toolbar|pagination|pager|share|sharing|social|related|recommend\w*|comments?|"
-                   r"replies|disqus|footer|masthead|header|skip-?link|login|signup|search|widget|tags)(?:$|[\s_-])", re.I)
+                   r"replies|disqus|footer|skip-?link|login|signup|search|widget|tags)(?:$|[\s_-])", re.I)
+# a header is furniture outside an article only; inside it holds the title
+HEADERS = re.compile(r"(?:^|[\s_-])(?:masthead|header)(?:$|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar toolbar".split())
 # end of fixed values
 
@@ -47,7 +49,7 @@ def furniture(tag: str, attributes: str, in_article: bool) -> bool:
         return False
     for name, *values in ATTRIBUTE.findall(attributes):
         value, name = "".join(values), name.lower()
-        if name in ("class", "id") and NAMES.search(value) or name == "role" and value.lower() in ROLES or name == "hidden" \
+        if name in ("class", "id") and (NAMES.search(value) or not in_article and HEADERS.search(value)) or name == "role" and value.lower() in ROLES or name == "hidden" \
                 or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
     return False
@@ -81,6 +83,8 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
                 if elements[stack[depth]].tag == tag:
                     close(depth, at)
                     break
+            if tag not in INLINE:
+                texts.append((stack[-1], "\n"))
             continue
         if tag not in INLINE:
             for depth in range(len(stack) - 1, 0, -1):
@@ -91,6 +95,8 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
                 if above not in INLINE:
                     break
         up = stack[-1]
+        if tag == "br" or tag not in INLINE:
+            texts.append((up, "\n"))  # words on both sides of a block or a line break stay apart
         marks = elements[up].marks
         if not marks & DROPPED and furniture(tag, token[3], bool(marks & IN_BODY)):
             marks |= DROPPED

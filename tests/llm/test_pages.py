@@ -73,7 +73,8 @@ def test_furniture_goes_and_the_article_stays():
 
 
 @pytest.mark.parametrize("page,text", [("", ""), ("plain  text", "plain text"), ("<p>a<p>b", "a b"), ("<article><p>cut off <b>here", "cut off here"),
-                                       ("<!-- open", ""), ("<script>x", ""), ("</p></div>a", "a"), ("a<b>c</b>d<br>e", "acde"), ("<p>x</p>" * 30_000, " ".join("x" * 30_000))])
+                                       ("<!-- open", ""), ("<script>x", ""), ("</p></div>a", "a"), ("a<b>c</b>d<br>e", "acd e"), ("a<hr>b", "a b"),
+                                       ("a<div class=ad>x</div>b<i>c</i>", "a bc"), ("<article><div class='post-header'><h1>T</h1></div>x</article>", "T x"), ("<p>x</p>" * 30_000, " ".join("x" * 30_000))])
 def test_odd_pages(page, text):
     assert text_of(page) == text
 
