@@ -119,6 +119,52 @@ def test_leaks_are_found_and_clean_documents_stay(spark):
     assert latent_decontamination.contaminated(frame(spark, rows), benchmark.where("false")).count() == 0
 
 
+def test_copies_and_paraphrases_of_a_full_batch_are_found(spark):
+    draw = random.Random(22)
+    names = ["".join(draw.choice("abcdefghijklmnoprstuv") for _ in range(draw.randrange(2, 8))) for _ in range(4000)]
+    word = lambda: names[int(4000 ** draw.random()) - 1]
+    # every passage of the benchmark is about as long as those of the tables, and all fit one pass
+    items = [(k, [word() for _ in range(draw.randrange(15, 60))]) for k in range(530)]
+    assert 19_000 < sum(len(w) for _, w in items) <= latent_decontamination.ITEM_WORDS
+    rows, want = [], set()
+    for k, own in items:
+        kept = [*own]
+        for j in draw.sample(range(len(own) - 4), int(0.4 * len(own))):
+            kept[j] = f"new{draw.randrange(10**6)}"
+        for i, passage in ((2 * k, own), (2 * k + 1, kept)):
+            rows.append((i, " ".join([word() for _ in range(draw.randrange(5, 60))] + passage + [word() for _ in range(draw.randrange(5, 60))])))
+            want.add((i, k))
+    benchmark = spark.createDataFrame([(k, " ".join(w[:-4]) + ". " + " ".join(w[-4:])) for k, w in items], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in latent_decontamination.contaminated(frame(spark, rows), benchmark).collect()}
+    copies = {(i, k) for i, k in want if i % 2 == 0}
+    assert (len(copies & found), len((want - copies) & found), len(found - want)) == (530, 530, 0)
+
+
+def brute_hits(search, hashes, first):
+    """(text, item) of the windows that pass the checks, without any search."""
+    out = set()
+    for length, own in search.lengths.items():
+        stride = max(1, length // 3)
+        for k, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+            for x in range(a, max(a, b - length - stride) + stride, stride) if b > a else ():
+                out |= {(k, i) for i in own if search.check(i, hashes[x:min(x + length + stride, b)])}
+    return out
+
+
+@pytest.mark.parametrize("cosine", [0.15, 2.0])
+def test_hits_are_those_of_all_windows(spark, cosine):
+    draw = random.Random(23)
+    few = [f"w{k}" for k in range(30)]
+    items = [(k, " ".join(draw.choice(few) for _ in range(draw.randrange(1, 25)))) for k in range(40)]
+    texts = ["", *(" ".join(draw.choice(few) for _ in range(draw.randrange(0, 120))) for _ in range(60)), "", items[3][1]]
+    rows = frame(spark, list(enumerate(texts))).select("doc_id", "text")
+    search, = latent_decontamination.fit_searches(rows, spark.createDataFrame(items, "item_id long, text string"), cosine=cosine)
+    raw = [t.encode() for t in texts]
+    hashes, first = latent_decontamination.plain_words(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    want = brute_hits(search, hashes, first)
+    assert len(want) > 20 and {h[:2] for h in search.hits(hashes, first)} == want
+
+
 def test_common_subsequence():
     def table(a, b):
         row = [0] * (len(b) + 1)
