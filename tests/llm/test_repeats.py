@@ -140,6 +140,24 @@ def test_copies_and_paraphrases_of_a_full_batch_are_found(spark):
     assert (len(copies & found), len((want - copies) & found), len(found - want)) == (530, 530, 0)
 
 
+def test_items_of_frequent_words_are_found(spark):
+    draw = random.Random(24)
+    vocabulary = ["".join(draw.choice("abcdefghijklmnop") for _ in range(draw.randrange(2, 8))) for _ in range(2000)]
+    frequent = [f"of{k}" for k in range(25)]
+    items = [(0, sentences(draw, vocabulary, 40)), (1, sentences(draw, frequent, 40)), (2, sentences(draw, vocabulary, 20))]
+    # item 0 stands in a third of the documents; the words of item 1 stand in most, the item itself in one of eleven
+    rows = []
+    for i in range(330):
+        text = [sentences(draw, vocabulary, 60), sentences(draw, frequent, 60), sentences(draw, vocabulary, 30)]
+        rows.append((i, " ".join([*text[:2], *([items[0][1]] if i % 3 == 0 else []), *([items[1][1]] if i % 11 == 0 else []), text[2]])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = latent_decontamination.contaminated(frame(spark, rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found if r.common_share == 1} == {(i, k) for k, n in ((0, 3), (1, 11)) for i in range(0, 330, n)}
+    small = [(0, items[0][1]), (1, "other words " + items[2][1].upper()), (2, rows[1][1])]
+    found = latent_decontamination.contaminated(frame(spark, small), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(0, 0), (1, 2)} and all(r.cosine > 0.5 for r in found)
+
+
 def brute_hits(search, hashes, first):
     """(text, item) of the windows that pass the checks, without any search."""
     out = set()
