@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,6 +19,7 @@ FURNITURE = frozenset("head nav header footer aside form script style noscript t
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
                    "strike strong sub sup time tt u var wbr".split())
 PROSE = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th article main body html".split())
+CELLS = frozenset("li dt dd tr td th option".split())  # one alone may repeat by chance
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|banner|promo\w*|cookies?|consent|notice|gdpr|popup|modal|overlay|newsletter|subscribe|"
                    r"sidebar|side-?bar|menu|nav\w*|breadcrumbs?|toolbar|pagination|pager|share|sharing|social|related|recommend\w*|comments?|"
@@ -32,6 +34,8 @@ ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"
 WHITE_RUN = re.compile(r"\s+")
 IN_BODY = 1  # marks of an element, as bits
 DROPPED = 2
+BLOCK = 1  # kinds of a digest, in its last bits: block that may go by the number of its pages alone, running text of an article
+RUNNING = 2
 
 
 class Element:
@@ -116,13 +120,44 @@ def parse(page: str) -> tuple[list[Element], list[tuple[int, str]]]:
 
 
 def subtree_digests(page: str, elements: list[Element]) -> None:
-    """Set the digest of every subtree that may be a site's template: all but running text of an article."""
+    """Set the digest of every subtree that may be a site's template: all but inline elements of an article."""
     for e in elements[1:]:
         if e.tag in ("html", "body", "head", "article", "main", "br"):
             continue
-        if e.marks & IN_BODY and e.tag in PROSE:
+        inside = e.marks & IN_BODY and e.tag in PROSE
+        if inside and e.tag in INLINE:
             continue
-        e.digest = int.from_bytes(hashlib.blake2b(page[e.begin:e.end].encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+        alone = e.tag in INLINE or e.tag in CELLS or inside and re.fullmatch("h[1-6]", e.tag)
+        kind = (RUNNING if inside else 0) | (0 if alone else BLOCK)
+        e.digest = int.from_bytes(hashlib.blake2b(page[e.begin:e.end].encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True) & ~3 | kind
+
+
+def surroundings(elements: list[Element], texts: list[tuple[int, str]]) -> dict[int, int]:
+    """For each digest of running text, the least hash of three words in a row of the rest of the article; 0 without a rest.
+
+    Articles that differ have different ones; copies of an article with a few words changed mostly share theirs.
+    """
+    none, n = 1 << 32, len(elements)
+    least, last = [none] * n, list(range(n))
+    for k, text in texts:
+        if elements[k].marks & IN_BODY and not elements[k].marks & DROPPED:
+            w = text.split()
+            for j in range(max(1, len(w) - 2) if w else 0):
+                h = zlib.crc32(" ".join(w[j:j + 3]).encode("utf-8", "surrogatepass")) * 0x9E3779B1 & 0xFFFFFFFF
+                if h < least[k]:
+                    least[k] = h
+    before, after = [none] * (n + 1), [none] * (n + 1)
+    for k in range(n):
+        before[k + 1] = min(before[k], least[k])
+    for k in range(n - 1, 0, -1):
+        after[k] = min(after[k + 1], least[k])
+        last[elements[k].up] = max(last[elements[k].up], last[k])
+    out = {}
+    for k, e in enumerate(elements):
+        if e.digest is not None and e.digest & RUNNING:
+            rest = min(before[k], after[last[k] + 1])
+            out[e.digest] = 0 if rest == none else rest + 1
+    return out
 
 
 def main_text(elements: list[Element], texts: list[tuple[int, str]], templates: frozenset[int]) -> str:
@@ -148,17 +183,20 @@ def main_text(elements: list[Element], texts: list[tuple[int, str]], templates:
     return " ".join(b for b in blocks if b)
 
 
-def extract_main_text(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
+def extract_main_text(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2, many_pages: int = 50) -> DataFrame:
     """One row per page: page_id, url, text, n_chars, n_templates.
 
-    Subtrees are hashed by their markup and counted per host over distinct
-    pages, merged before the shuffle so a large host weighs no more; those on at
-    least ``min_pages`` pages and ``min_share`` of the host's pages are its
-    template and are deleted, together with furniture (menus, headers, footers,
-    sidebars, notices, adverts, forms, scripts, styles, comments). Paragraphs and
-    headings inside an article are never template. Null html counts as empty and
-    gives an empty text; pages without url form one host; repeated rows count
-    once for the template and give a row each; an empty table gives no rows.
+    Subtrees are hashed by their markup and counted per host over pages of
+    distinct html, so copies count once; those on at least ``min_pages`` pages
+    and ``min_share`` of the host's pages are its template and are deleted, as
+    are blocks (not single cells, items or inline elements) on ``many_pages``
+    pages of a host of any size, together with furniture (menus, headers,
+    footers, sidebars, notices, adverts, forms, scripts, styles, comments).
+    Paragraphs, headings, items and cells inside an article go by the same
+    counts, but only over articles that differ elsewhere: at least ``min_pages``
+    and half of those that hold them. Null html counts as empty and gives an
+    empty text; pages without url form one host; repeated rows give a row each;
+    an empty table gives no rows.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
@@ -169,22 +207,29 @@ def extract_main_text(pages: DataFrame, min_pages: int = 5, min_share: float = 0
         for batch in reader:
             for a in range(0, len(batch), 256):
                 part = batch.slice(a, 256)
-                hosts, keys, found = [], [], []
-                for h, k, page in zip(part.column("host").to_pylist(), part.column("page_key").to_pylist(), part.column("html").to_pylist()):
-                    elements, _ = parse(page or "")
+                hosts, keys, contents, found, rests = [], [], [], [], []
+                for h, k, c, page in zip(part.column("host").to_pylist(), part.column("page_key").to_pylist(), part.column("content").to_pylist(),
+                                         part.column("html").to_pylist()):
+                    elements, pieces = parse(page or "")
                     subtree_digests(page or "", elements)
-                    own = {e.digest for e in elements if e.digest is not None}
-                    own.add(0)  # counts the pages of the host
+                    own = {e.digest: 0 for e in elements if e.digest is not None} | surroundings(elements, pieces)
+                    own[0] = 0  # counts the pages of the host
                     hosts += [h] * len(own)
                     keys += [k] * len(own)
+                    contents += [c] * len(own)
                     found += own
-                yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(found, pa.int64())], ["host", "page_key", "digest"])
-
-    seen = rows.select("host", "page_key", "html").mapInArrow(digests, "host string, page_key long, digest long")
-    counts = seen.groupBy("host", "digest").agg(F.count("*").alias("n"))
+                    rests += own.values()
+                yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(x, pa.int64()) for x in (keys, contents, found, rests))],
+                                                 ["host", "page_key", "content", "digest", "rest"])
+
+    content = F.xxhash64(F.coalesce("html", F.lit("")))
+    seen = rows.select("host", "page_key", content.alias("content"), "html").mapInArrow(digests, "host string, page_key long, content long, digest long, rest long")
+    counts = (seen.groupBy("host", "digest", "rest", "content").agg(F.lit(1).alias("one")).groupBy("host", "digest", "rest").agg(F.count("*").alias("n"))
+              .groupBy("host", "digest").agg(F.sum("n").alias("n"), F.count(F.when(F.col("rest") != 0, 1)).alias("rests")))
     total = counts.where("digest = 0").select("host", F.col("n").alias("host_pages"))
-    templates = (counts.where(F.col("n") >= min_pages).where("digest <> 0").join(total, "host").where(F.col("n") >= min_share * F.col("host_pages"))
-                 .select("host", "digest"))
+    running, block = F.col("digest").bitwiseAND(RUNNING) != 0, F.col("digest").bitwiseAND(BLOCK) != 0
+    templates = (counts.where(F.col("n") >= min_pages).where("digest <> 0").where(~running | (F.col("rests") >= min_pages) & (F.col("rests") * 2 >= F.col("n")))
+                 .join(total, "host").where((F.col("n") >= min_share * F.col("host_pages")) | block & (F.col("n") >= many_pages)).select("host", "digest"))
     lists = (seen.join(templates, ["host", "digest"]).groupBy("page_key").agg(F.collect_set("digest").alias("templates")))
 
     def texts(reader):

@@ -92,3 +92,14 @@ def test_templates_of_a_host_go_but_not_its_articles(spark):
     assert got[300] == "" and got[301] == ""
     assert site_templates.extract_main_text(frame(spark, pages)).count() == len(pages)
     assert site_templates.extract_main_text(frame(spark, [])).count() == 0
+
+
+def test_counts_decide_inside_articles(spark):
+    words = lambda k: " ".join(f"w{k}x{j}" for j in range(12))
+    note = "<p>Sign up for our letter</p>"
+    pages = [(i, f"http://n.example/{i}", f"<article><h1>T{i}</h1><p>{words(i)}</p>{note}</article>") for i in range(12)]
+    # near copies of one article: their paragraphs recur, but with the same surroundings
+    pages += [(100 + i, f"http://c.example/{i}", f"<article><p>{words(1)}</p><p>{words(2)}</p><p>{words(3)} v{i}</p></article>") for i in range(12)]
+    got = {r.page_id: (r.text, r.n_templates) for r in site_templates.extract_main_text(frame(spark, pages)).collect()}
+    assert all(got[i] == (f"T{i} {words(i)}", 1) for i in range(12))
+    assert all(got[100 + i] == (f"{words(1)} {words(2)} {words(3)} v{i}", 0) for i in range(12))
