@@ -103,3 +103,15 @@ def test_counts_decide_inside_articles(spark):
     got = {r.page_id: (r.text, r.n_templates) for r in site_templates.extract_main_text(frame(spark, pages)).collect()}
     assert all(got[i] == (f"T{i} {words(i)}", 1) for i in range(12))
     assert all(got[100 + i] == (f"{words(1)} {words(2)} {words(3)} v{i}", 0) for i in range(12))
+
+
+def test_copied_pages_count_once_and_sections_of_a_large_host_go(spark):
+    one = "<article><div>The first part</div><section>The second part</section></article>"
+    plain = "<h1>Title</h1><p>All of the text</p>"
+    pages = [(i, f"http://a.example/{i}", one) for i in range(5)] + [(10 + i, f"http://a.example/x{i}", f"<p>x{i}</p>") for i in range(4)]
+    pages += [(20 + i, f"http://b.example/{i}", plain) for i in range(5)]
+    menu = "<div><a>News</a> <a>Sport here</a></div>"
+    pages += [(1000 + i, f"http://l.example/{i}", f"{menu if i % 10 == 0 else ''}<p>Text {i}</p>") for i in range(600)]
+    got = {r.page_id: r.text for r in site_templates.extract_main_text(frame(spark, pages)).collect()}
+    assert all(got[i] == "The first part The second part" for i in range(5)) and all(got[20 + i] == "Title All of the text" for i in range(5))
+    assert all(got[1000 + i] == f"Text {i}" for i in range(600))
