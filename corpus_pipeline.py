@@ -27,13 +27,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of texts that are equal without white space: the longest, then that of the smallest id.
 
-    Null, empty and blank texts are one group. Of rows that repeat id and text one stays.
+    Null, empty and blank texts are one group. Of rows that repeat id and text, white space aside, one stays.
     """
-    found = written(exact_dedup.exact_duplicates(docs).where("kept").groupBy(F.col("doc_id").alias("keep"), "text_sha256").agg(F.count("*").alias("rows")),
+    found = written(exact_dedup.exact_duplicates(docs).where("kept").groupBy(F.col("doc_id").alias("keep"), "text_sha256", "keep_cp").agg(F.count("*").alias("rows")),
                     "kept-texts").alias("k")
     norm = exact_dedup.normalised(F.col("d.text"))
     kept = docs.alias("d").withColumn("__digest", F.sha2(norm.cast("binary"), 256)).join(
-        found, (F.col("__digest") == F.col("k.text_sha256")) & F.col("d.doc_id").cast("long").eqNullSafe(F.col("k.keep")))
+        found, (F.col("__digest") == F.col("k.text_sha256")) & F.col("d.doc_id").cast("long").eqNullSafe(F.col("k.keep"))
+        & (F.length(F.coalesce("d.text", F.lit(""))) == F.col("k.keep_cp")))
     one = kept.where("k.rows = 1").select("d.*")
     if found.where("rows > 1").isEmpty():
         return one

@@ -82,7 +82,8 @@ def hash_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_keys: int = 4096) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, and the index entry (bucket_start, depth, chain).
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, keep_cp (code points of the kept row), and the index entry
+    (bucket_start, depth, chain).
 
     Texts are equal when the same after deleting white space ``[\\x20\\x09-\\x0D]``; null counts as empty, so null,
     empty and blank texts form one group. Of a group the row with the most code points stays, then the smallest id.
@@ -96,7 +97,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     heads = index.join(keepers, ["key", "text_sha256"])
     return rows.join(heads, ["key", "text_sha256"]).select(
         "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_cp") == F.col("keep_cp"))).alias("kept"),
-        "text_sha256", "bucket_start", "depth", "chain")
+        "text_sha256", "keep_cp", "bucket_start", "depth", "chain")
 
 
 def query(spark, sf_dir):

@@ -57,3 +57,9 @@ def test_run_and_empty_tables(spark, folder):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").where("false").write.parquet(f"{empty}/{name}.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_rows_of_one_id_that_differ_in_white_space(spark):
+    rows = [(1, "a b", "en", "s", 3), (1, "ab", "en", "s", 2), (2, "c d", "en", "s", 3), (2, "c\nd", "en", "s", 3), (2, "cd", "en", "s", 2), (3, "e", "en", "s", 1)]
+    got = corpus_pipeline.exact(spark, spark.createDataFrame(rows, COLUMNS), "").collect()
+    assert sorted((r.doc_id, len(r.text)) for r in got) == [(1, 3), (2, 3), (3, 1)]
