@@ -10,6 +10,7 @@ from ride_analytics.llm import (
     retrieval_packing,
     run_index,
     site_templates,
+    token_alignment,
     token_counts,
     warc,
 )
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_latent_decontamination": latent_decontamination.query,
     "op9_minhash_bayes": minhash.query,
     "op10_run_index": run_index.query,
+    "op13_token_alignment": token_alignment.query,
     "pipeline": run,
 }
 ORACLES = {
