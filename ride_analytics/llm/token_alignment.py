@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ride_analytics.llm.common import batches
 from ride_analytics.sources.storage import written
 
-BLOCK_BYTES = 4 << 20   # text aligned at a time
+BLOCK_BYTES = 2 << 20   # text aligned at a time
 CHUNK_CHARS = 1 << 16   # characters given to an encoder at a time, where the text has a safe cut
 LANE = 512              # tokens between two checks for a place to start a lane of its own
 
