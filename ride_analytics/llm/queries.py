@@ -5,6 +5,7 @@ from ride_analytics.llm import (
     exact_dedup,
     latent_decontamination,
     minhash,
+    phrase_mining,
     ppm,
     quality_ranker,
     retrieval_packing,
@@ -26,10 +27,12 @@ QUERIES = {
     "op8_latent_decontamination": latent_decontamination.query,
     "op9_minhash_bayes": minhash.query,
     "op10_run_index": run_index.query,
+    "op11_setm_phrases": phrase_mining.query,
     "op13_token_alignment": token_alignment.query,
     "pipeline": run,
 }
 ORACLES = {
     "op1_warc_transactions": warc.ORACLE_SQL,
     "op7_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op11_setm_phrases": phrase_mining.ORACLE_SQL,
 }
