@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ride_analytics.llm.common import LOWER, batches
 from ride_analytics.sources.storage import written
 
-BLOCK_BYTES = 4 << 20     # text whose occurrences are one row of the relation
+BLOCK_BYTES = 2 << 20     # text whose occurrences are one row of the relation
 MOST_WORDS = 4
 SUPPORT = 30
 TOP = 2000
@@ -51,27 +51,57 @@ def unpacked(blob: bytes, n: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(blob, 4 * n, codec="zstd", asbytes=True), np.int32) if n else np.zeros(0, np.int32)
 
 
+def packed_longs(x: np.ndarray) -> bytes:
+    return packed(x.astype(np.int64))
+
+
+def unpacked_longs(blob: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob, 8 * n, codec="zstd", asbytes=True), np.int64) if n else np.zeros(0, np.int64)
+
+
 def word_relation(docs: DataFrame, block_bytes: int) -> DataFrame:
     """R1, a row per block of texts: ``steps`` (differences of the positions) and ``groups`` (numbers of the words) of its occurrences in
-    order, and for each number ``lang``, ``word`` and ``times``."""
+    order; ``words``, ``langs`` and ``times`` of each number, packed; ``lang_names`` and ``lang_words``, the block's words per language."""
 
     def run(reader):
         for part, raw, offsets in batches(reader, "text", block_bytes):
             found, position, first = pieces_and_words(raw, offsets)
             coded = found.dictionary_encode()
             langs = part.column("lang").dictionary_encode()
-            size = max(1, len(langs.dictionary))
-            key = coded.indices.to_numpy().astype(np.int64) * size + np.repeat(langs.indices.to_numpy(), np.diff(first))
+            names = langs.dictionary.to_pylist()
+            lang = np.repeat(langs.indices.to_numpy(), np.diff(first))
+            key = coded.indices.to_numpy().astype(np.int64) * max(1, len(names)) + lang
             own, number, times = np.unique(key, return_inverse=True, return_counts=True)
-            lists = [langs.dictionary.take(pa.array(own % size)).to_pylist(), coded.dictionary.take(pa.array(own // size)).to_pylist(), times]
+            text = "\n".join(coded.dictionary.take(pa.array(own // max(1, len(names)))).to_pylist()).encode()  # a word has no line break
+            blobs = [packed(np.diff(position, prepend=0).astype(np.int32)), packed(number.astype(np.int32)), pa.compress(text, codec="zstd", asbytes=True),
+                     packed((own % max(1, len(names))).astype(np.int32)), packed(times.astype(np.int32))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([len(number)], pa.int64()), pa.array([packed(np.diff(position, prepend=0).astype(np.int32))]), pa.array([packed(number.astype(np.int32))]),
-                 *(pa.array([x], pa.list_(t)) for x, t in zip(lists, (pa.string(), pa.string(), pa.int64())))], ["n", "steps", "groups", "lang", "word", "times"])
+                [pa.array([x], pa.int64()) for x in (len(number), len(own), len(text))] + [pa.array([x], pa.binary()) for x in blobs]
+                + [pa.array([names], pa.list_(pa.string())), pa.array([np.bincount(lang, minlength=len(names))], pa.list_(pa.int64()))],
+                ["n", "n_groups", "n_text", "steps", "groups", "words", "langs", "times", "lang_names", "lang_words"])
 
-    schema = "n long, steps binary, groups binary, lang array<string>, word array<string>, times array<long>"
+    schema = ("n long, n_groups long, n_text long, steps binary, groups binary, words binary, langs binary, times binary, lang_names array<string>, "
+              "lang_words array<long>")
     return docs.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id())
 
 
+def word_groups(relation: DataFrame) -> DataFrame:
+    """One row per block and word: block, number, lang, word, times."""
+
+    def run(reader):
+        for batch in reader:
+            for r in batch.to_pylist():
+                n = r["n_groups"]
+                if n:
+                    text = pa.decompress(r["words"], r["n_text"], codec="zstd", asbytes=True).decode()
+                    langs = pa.DictionaryArray.from_arrays(pa.array(unpacked(r["langs"], n)), pa.array(r["lang_names"], pa.string())).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, r["block"])), pa.array(np.arange(n)), langs, pa.array(text.split("\n"), pa.string()),
+                                                      pa.array(unpacked(r["times"], n).astype(np.int64))], ["block", "number", "lang", "word", "times"])
+
+    return relation.select("block", "n_groups", "n_text", "words", "langs", "times", "lang_names").mapInArrow(
+        run, "block long, number long, lang string, word string, times long")
+
+
 def extended(relation: DataFrame, kept: DataFrame, keep_occurrences: bool) -> DataFrame:
     """R(k) from R(k-1) and ``kept`` (block, number, id of its frequent groups).
 
@@ -79,35 +109,45 @@ def extended(relation: DataFrame, kept: DataFrame, keep_occurrences: bool) -> Da
     at neighbouring positions of a piece, each a run of k-1 words, overlap in
     all but their ends and make one of k. A group is the pair of their ids.
     """
-    told = kept.groupBy("block").agg(F.collect_list(F.struct("number", "id")).alias("told"))
+
+    def run(blocks: pa.Table, told: pa.Table) -> pa.Table:
+        if not len(blocks) or not len(told):
+            return pa.Table.from_pylist([], names)
+        r = blocks.to_pylist()[0]
+        position = np.cumsum(unpacked(r["steps"], r["n"]), dtype=np.int64)
+        groups = unpacked(r["groups"], r["n"])
+        number, ids = told.column("number").to_numpy(), told.column("id").to_numpy()
+        place = np.full(int(max(groups.max(initial=0), number.max())) + 1, -1, np.int64)
+        place[number] = np.arange(len(number))
+        own = place[groups]
+        position, own = position[own >= 0], own[own >= 0]
+        at = np.flatnonzero(position[1:] == position[:-1] + 1)
+        pairs, group, times = np.unique(own[at] * len(ids) + own[at + 1], return_inverse=True, return_counts=True)
+        row = {"block": r["block"], "n": len(at), "n_groups": len(pairs), "steps": b"", "groups": b"", "first": packed_longs(ids[pairs // len(ids)]),
+               "second": packed_longs(ids[pairs % len(ids)]), "times": packed(times.astype(np.int32))}
+        if keep_occurrences:
+            row |= {"steps": packed(np.diff(position[at], prepend=0).astype(np.int32)), "groups": packed(group.astype(np.int32))}
+        return pa.Table.from_pylist([row], names)
+
+    names = pa.schema([("block", pa.int64()), ("n", pa.int64()), ("n_groups", pa.int64()), ("steps", pa.binary()), ("groups", pa.binary()), ("first", pa.binary()),
+                       ("second", pa.binary()), ("times", pa.binary())])
+    blocks = relation.select("block", "n", "steps", "groups").groupBy("block")
+    return blocks.cogroup(kept.groupBy("block")).applyInArrow(run, "block long, n long, n_groups long, steps binary, groups binary, first binary, second binary, times binary")
+
+
+def pair_groups(relation: DataFrame) -> DataFrame:
+    """One row per block and group: block, number, first, second, times."""
 
     def run(reader):
         for batch in reader:
-            for k in range(len(batch)):
-                n, told = batch.column("n")[k].as_py(), batch.column("told")[k].values
-                position = np.cumsum(unpacked(batch.column("steps")[k].as_py(), n), dtype=np.int64)
-                groups = unpacked(batch.column("groups")[k].as_py(), n)
-                number, ids = told.field("number").to_numpy(), told.field("id").to_numpy()
-                place = np.full(int(max(groups.max(initial=0), number.max(initial=0))) + 1, -1, np.int64)
-                place[number] = np.arange(len(number))
-                own = place[groups]
-                position, own = position[own >= 0], own[own >= 0]
-                at = np.flatnonzero(position[1:] == position[:-1] + 1)
-                pairs, group, times = np.unique(own[at] * len(ids) + own[at + 1], return_inverse=True, return_counts=True)
-                steps = np.diff(position[at], prepend=0).astype(np.int32)
-                lists = [ids[pairs // max(1, len(ids))], ids[pairs % max(1, len(ids))], times]
-                kept_rows = [pa.array([packed(steps)]), pa.array([packed(group.astype(np.int32))])] if keep_occurrences else [pa.array([b""])] * 2
-                yield pa.RecordBatch.from_arrays([batch.column("block").slice(k, 1), pa.array([len(at)], pa.int64()), *kept_rows,
-                                                  *(pa.array([x], pa.list_(pa.int64())) for x in lists)], ["block", "n", "steps", "groups", "first", "second", "times"])
-
-    schema = "block long, n long, steps binary, groups binary, first array<long>, second array<long>, times array<long>"
-    return relation.join(told, "block").select("block", "n", "steps", "groups", "told").mapInArrow(run, schema)
-
-
-def exploded(relation: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per block and group: block, number, ``columns``."""
-    rows = relation.select("block", F.posexplode(F.arrays_zip(*columns)).alias("number", "group"))
-    return rows.select("block", "number", *[F.col(f"group.{c}").alias(c) for c in columns])
+            for r in batch.to_pylist():
+                n = r["n_groups"]
+                if n:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, r["block"])), pa.array(np.arange(n)), pa.array(unpacked_longs(r["first"], n)),
+                                                      pa.array(unpacked_longs(r["second"], n)), pa.array(unpacked(r["times"], n).astype(np.int64))],
+                                                     ["block", "number", "first", "second", "times"])
+
+    return relation.select("block", "n_groups", "first", "second", "times").mapInArrow(run, "block long, number long, first long, second long, times long")
 
 
 def semi_joined(groups: DataFrame, frequent: DataFrame, keys: list[str]) -> DataFrame:
@@ -121,16 +161,17 @@ def semi_joined(groups: DataFrame, frequent: DataFrame, keys: list[str]) -> Data
 def frequent_phrases(docs: DataFrame, most_words: int, support: int, block_bytes: int) -> tuple[DataFrame, DataFrame]:
     """All phrases of 1 to ``most_words`` words that occur at least ``support`` times (lang, phrase, words, f), and lang, n."""
     relation = written(word_relation(docs, block_bytes), "phrase-relation-1")
-    groups = exploded(relation, ["lang", "word", "times"])
-    counts = written(groups.groupBy("lang", "word").agg(F.sum("times").alias("f")), "phrase-words")
-    totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
-    frequent = written(counts.where(F.col("f") >= support).withColumn("id", F.monotonically_increasing_id()), "phrase-frequent-1")
+    per_lang = relation.select(F.explode(F.arrays_zip("lang_names", "lang_words")).alias("x")).select(F.col("x.lang_names").alias("lang"), F.col("x.lang_words").alias("n"))
+    totals = per_lang.groupBy("lang").agg(F.sum("n").alias("n"))
+    groups = word_groups(relation)
+    counts = groups.groupBy("lang", "word").agg(F.sum("times").alias("f")).where(F.col("f") >= support)
+    frequent = written(counts.withColumn("id", F.monotonically_increasing_id()), "phrase-frequent-1")
     kept = semi_joined(groups, frequent, ["lang", "word"])
     level = frequent.select("lang", F.col("word").alias("phrase"), F.array("word").alias("words"), "f", "id")
     levels = [level]
     for k in range(2, most_words + 1):
         relation = written(extended(relation, kept, k < most_words), f"phrase-relation-{k}")
-        groups = exploded(relation, ["first", "second", "times"])
+        groups = pair_groups(relation)
         counts = groups.groupBy("first", "second").agg(F.sum("times").alias("f")).where(F.col("f") >= support)
         frequent = written(counts.withColumn("id", F.monotonically_increasing_id()), f"phrase-frequent-{k}")
         if k < most_words:
