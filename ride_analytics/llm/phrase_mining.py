@@ -7,13 +7,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ride_analytics.llm.common import LOWER, batches
+from ride_analytics.llm.common import LOWER, batches, mix
 from ride_analytics.sources.storage import written
 
 BLOCK_BYTES = 2 << 20     # text whose occurrences are one row of the relation
 MOST_WORDS = 4
 SUPPORT = 30
 TOP = 2000
+MERGED_PAIRS = 1_000_000  # groups that a task merges before they are cut into buckets
+BUCKET_PAIRS = 500_000    # groups of a bucket, before its owner merges them
 BROADCAST_ROWS = 400_000  # frequent groups that are handed to all tasks; beyond, both sides are shuffled
 RANK_PARTS = 64           # hash classes of a language's phrases that are ranked apart first
 
@@ -136,7 +138,7 @@ def extended(relation: DataFrame, kept: DataFrame, keep_occurrences: bool) -> Da
 
 
 def pair_groups(relation: DataFrame) -> DataFrame:
-    """One row per block and group: block, number, first, second, times."""
+    """One row per block and group: block, number, first, second."""
 
     def run(reader):
         for batch in reader:
@@ -144,10 +146,75 @@ def pair_groups(relation: DataFrame) -> DataFrame:
                 n = r["n_groups"]
                 if n:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(n, r["block"])), pa.array(np.arange(n)), pa.array(unpacked_longs(r["first"], n)),
-                                                      pa.array(unpacked_longs(r["second"], n)), pa.array(unpacked(r["times"], n).astype(np.int64))],
-                                                     ["block", "number", "first", "second", "times"])
+                                                      pa.array(unpacked_longs(r["second"], n))], ["block", "number", "first", "second"])
 
-    return relation.select("block", "n_groups", "first", "second", "times").mapInArrow(run, "block long, number long, first long, second long, times long")
+    return relation.select("block", "n_groups", "first", "second").mapInArrow(run, "block long, number long, first long, second long")
+
+
+def sums_of_sorted(first: np.ndarray, second: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs in order, each once, with its summed times."""
+    order = np.lexsort((second, first))
+    first, second, times = first[order], second[order], times[order]
+    new = np.flatnonzero(np.concatenate(([True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])))) if len(first) else np.zeros(0, np.int64)
+    return first[new], second[new], np.add.reduceat(times, new) if len(new) else times
+
+
+def frequent_pairs(relation: DataFrame, support: int, bucket_pairs: int = BUCKET_PAIRS) -> DataFrame:
+    """first, second, f of the groups of all blocks that reach ``support``.
+
+    A task merges the sorted groups of its blocks and cuts them by hash into
+    buckets, which travel as compressed sorted arrays; the owner of a bucket
+    merges and counts them. The number of buckets follows the groups, so a bucket's size does not grow.
+    """
+    total = relation.agg(F.sum("n_groups")).first()[0] or 0
+    buckets = max(1, -(-int(total) // bucket_pairs))
+
+    def slices(parts):
+        first, second, times = sums_of_sorted(*(np.concatenate(x) for x in zip(*parts)))
+        bucket = (mix(first.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + second.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        bounds = np.searchsorted(bucket[order], np.arange(buckets + 1)) if buckets <= len(bucket) else np.append(np.unique(bucket[order], return_index=True)[1], len(bucket))
+        rows = []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if b > a:
+                own = order[a:b]
+                rows.append((int(bucket[own[0]]), b - a, packed_longs(np.diff(first[own], prepend=0)), packed_longs(second[own]), packed_longs(times[own])))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int64()] + [pa.binary()] * 3)],
+                                          ["bucket", "n", "first", "second", "times"])
+
+    def cut(reader):
+        parts, size = [], 0
+        for batch in reader:
+            for r in batch.to_pylist():
+                n = r["n_groups"]
+                if n:
+                    parts.append((unpacked_longs(r["first"], n), unpacked_longs(r["second"], n), unpacked(r["times"], n).astype(np.int64)))
+                    size += n
+                if size >= MERGED_PAIRS:
+                    yield slices(parts)
+                    parts, size = [], 0
+        if parts:
+            yield slices(parts)
+
+    def count(parts):
+        first, second, times = sums_of_sorted(*(np.concatenate(x) for x in zip(*parts)))
+        own = times >= support
+        return pa.RecordBatch.from_arrays([pa.array(x[own]) for x in (first, second, times)], ["first", "second", "f"])
+
+    def merge(reader):
+        parts, bucket = [], None
+        for batch in reader:
+            for r in batch.to_pylist():
+                if parts and r["bucket"] != bucket:
+                    yield count(parts)
+                    parts = []
+                bucket, n = r["bucket"], r["n"]
+                parts.append((np.cumsum(unpacked_longs(r["first"], n)), unpacked_longs(r["second"], n), unpacked_longs(r["times"], n)))
+        if parts:
+            yield count(parts)
+
+    cuts = relation.select("n_groups", "first", "second", "times").mapInArrow(cut, "bucket long, n long, first binary, second binary, times binary")
+    return cuts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "first long, second long, f long")
 
 
 def semi_joined(groups: DataFrame, frequent: DataFrame, keys: list[str]) -> DataFrame:
@@ -171,11 +238,9 @@ def frequent_phrases(docs: DataFrame, most_words: int, support: int, block_bytes
     levels = [level]
     for k in range(2, most_words + 1):
         relation = written(extended(relation, kept, k < most_words), f"phrase-relation-{k}")
-        groups = pair_groups(relation)
-        counts = groups.groupBy("first", "second").agg(F.sum("times").alias("f")).where(F.col("f") >= support)
-        frequent = written(counts.withColumn("id", F.monotonically_increasing_id()), f"phrase-frequent-{k}")
+        frequent = written(frequent_pairs(relation, support).withColumn("id", F.monotonically_increasing_id()), f"phrase-frequent-{k}")
         if k < most_words:
-            kept = semi_joined(groups, frequent, ["first", "second"])
+            kept = semi_joined(pair_groups(relation), frequent, ["first", "second"])
         heads = level.select(F.col("id").alias("first"), "lang", F.col("words").alias("head"))
         tails = level.select(F.col("id").alias("second"), F.element_at("words", -1).alias("tail"))
         named = frequent.join(heads, "first").join(tails, "second").select("lang", F.concat("head", F.array("tail")).alias("words"), "f", "id")

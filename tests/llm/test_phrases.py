@@ -47,6 +47,8 @@ def test_phrases_equal_plain_counts(spark, support, top, block, parts):
 
 def test_frequent_groups_too_many_to_broadcast(spark, monkeypatch):
     monkeypatch.setattr(phrase_mining, "BROADCAST_ROWS", 2)
+    monkeypatch.setattr(phrase_mining, "MERGED_PAIRS", 3)
+    monkeypatch.setattr(phrase_mining.frequent_pairs, "__defaults__", (2,))
     rows = [("en", "one two three four five"), ("en", "one two three four six")] * 4
     got = phrase_mining.mine_phrases(frame(spark, rows), support=3)
     assert sorted(tuple(r) for r in got.collect()) == brute(rows, 3, 2000)
