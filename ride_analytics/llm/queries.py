@@ -2,6 +2,7 @@
 
 from corpus_pipeline import run
 from ride_analytics.llm import (
+    adaptive_join,
     exact_dedup,
     latent_decontamination,
     minhash,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_minhash_bayes": minhash.query,
     "op10_run_index": run_index.query,
     "op11_setm_phrases": phrase_mining.query,
+    "op12_adaptive_prefix": adaptive_join.query,
     "op13_token_alignment": token_alignment.query,
     "pipeline": run,
 }
