@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ride_analytics.llm.common import U64, WHITE, connected, mix, shingles, words
-from ride_analytics.llm.minhash import block_pairs
 from ride_analytics.llm.run_index import pack_texts, unpack
 from ride_analytics.sources.storage import cut, written
 
@@ -22,7 +21,7 @@ BLOCK_BYTES = 4 << 20      # text of a block
 CHUNK_BYTES = 1 << 20      # text whose words are hashed at a time
 BUCKET_TOKENS = 1_000_000  # tokens counted at a time
 GROUP = 256                # documents of a token that one task compares at a time
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 3
 MOST_MARKS = 96            # prefix tokens that travel with each posting; a longer prefix would cost their square
 CHECK_COST = 1 / 16        # of comparing one shingle of a candidate, against reading one posting
 
@@ -81,8 +80,19 @@ def sketches(blocks: DataFrame) -> DataFrame:
     return blocks.mapInArrow(run, "block long, row long, doc_id long, n_shingles long, set_id binary")
 
 
+def packed_tokens(tokens: np.ndarray) -> bytes:
+    """Sorted tokens as differences, byte by byte, so the upper bytes, mostly 0, cost nothing."""
+    steps = np.diff(tokens, prepend=U64(0))
+    return pa.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked_tokens(blob: bytes, n: int) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(blob, 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(raw.T).view(U64).ravel(), dtype=U64)
+
+
 def shared_tokens(blocks: DataFrame, total: int, bucket_tokens: int) -> DataFrame:
-    """block, tokens, counts (packed): the tokens of each block that several documents of the corpus hold, with how many.
+    """block, n, tokens, counts (packed): the tokens of each block that several documents of the corpus hold, with how many.
 
     Blocks cut their sorted tokens into buckets by range; the owner of a bucket counts them and answers each block.
     """
@@ -95,12 +105,12 @@ def shared_tokens(blocks: DataFrame, total: int, bucket_tokens: int) -> DataFram
                 tokens, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, U64), np.zeros(0, np.int64))
                 bounds = np.concatenate(([0], np.searchsorted(tokens, edges), [len(tokens)]))
                 own = np.flatnonzero(np.diff(bounds))
-                blobs = [(tokens[bounds[k]:bounds[k + 1]].tobytes(), pa.compress(counts[bounds[k]:bounds[k + 1]].astype(np.uint32).tobytes(), codec="zstd", asbytes=True)) for k in own.tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), r["block"])), pa.array([b[0] for b in blobs], pa.binary()),
-                                                  pa.array([b[1] for b in blobs], pa.binary())], ["bucket", "block", "tokens", "counts"])
+                blobs = [(packed_tokens(tokens[bounds[k]:bounds[k + 1]]), pa.compress(counts[bounds[k]:bounds[k + 1]].astype(np.uint32).tobytes(), codec="zstd", asbytes=True)) for k in own.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), r["block"])), pa.array(np.diff(bounds)[own]), pa.array([b[0] for b in blobs], pa.binary()),
+                                                  pa.array([b[1] for b in blobs], pa.binary())], ["bucket", "block", "n", "tokens", "counts"])
 
     def count(rows):
-        tokens = [np.frombuffer(r["tokens"], U64) for r in rows]
+        tokens = [unpacked_tokens(r["tokens"], r["n"]) for r in rows]
         counts = [np.frombuffer(pa.decompress(r["counts"], 4 * len(t), codec="zstd", asbytes=True), np.uint32) for r, t in zip(rows, tokens)]
         all_, inverse = np.unique(np.concatenate(tokens), return_inverse=True)
         df = np.bincount(inverse, np.concatenate(counts)).astype(np.int64)[inverse]
@@ -109,9 +119,9 @@ def shared_tokens(blocks: DataFrame, total: int, bucket_tokens: int) -> DataFram
             own = df[at:at + len(t)]
             at += len(t)
             if (own > 1).any():
-                out.append((r["block"], t[own > 1].tobytes(), own[own > 1].tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary()))] if out else
-                                          [pa.array([], t) for t in (pa.int64(), pa.binary(), pa.binary())], ["block", "tokens", "counts"])
+                out.append((r["block"], int((own > 1).sum()), packed_tokens(t[own > 1]), pa.compress(own[own > 1].tobytes(), codec="zstd", asbytes=True)))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))],
+                                          ["block", "n", "tokens", "counts"])
 
     def merge(reader):
         rows, bucket = [], None
@@ -125,8 +135,8 @@ def shared_tokens(blocks: DataFrame, total: int, bucket_tokens: int) -> DataFram
         if rows:
             yield count(rows)
 
-    cuts = blocks.mapInArrow(slices, "bucket long, block long, tokens binary, counts binary")
-    return cuts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "block long, tokens binary, counts binary")
+    cuts = blocks.mapInArrow(slices, "bucket long, block long, n long, tokens binary, counts binary")
+    return cuts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "block long, n long, tokens binary, counts binary")
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -165,8 +175,9 @@ def postings(blocks: DataFrame, heads: DataFrame, shared: DataFrame, percent: in
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for r in left.to_pylist():
-            tokens = np.frombuffer(b"".join(right.column("tokens").to_pylist()), U64)
-            counts = np.frombuffer(b"".join(right.column("counts").to_pylist()), np.int64)
+            told = right.to_pylist()
+            tokens = np.concatenate([np.zeros(0, U64), *(unpacked_tokens(x["tokens"], x["n"]) for x in told)])
+            counts = np.frombuffer(b"".join(pa.decompress(x["counts"], 8 * x["n"], codec="zstd", asbytes=True) for x in told), np.int64)
             order = np.argsort(tokens)
             tokens, counts = np.append(tokens[order], U64(2**64 - 1)), np.append(counts[order], 1)
             sets = shingle_sets(*unpack(r["offsets"], r["texts"]))
@@ -196,77 +207,102 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(reader):
         for batch in reader:
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, U64), np.frombuffer(y, U64)
-                both = np.concatenate((x, y))
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(both) - common))
+            both = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
+            keep = [overlaps(np.frombuffer(x, U64), np.frombuffer(y, U64), percent) for x, y in both]
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     left = pairs.join(sets.select(F.col("uid").alias("a"), F.col("whole").alias("x")), "a")
     return left.join(sets.select(F.col("uid").alias("b"), F.col("whole").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def candidates(parts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of each part's two sides, or of its one side, in different components, that share as many marks as either asks for.
+def part_links(part: dict, percent: int, whole: bool) -> list[tuple[int, int]]:
+    """Links of a forest over the pairs of a part's two sides, or of its one side, that are in different components and
+    share as many marks as either asks for; with ``whole`` only pairs whose whole sets are similar.
 
-    Partitions are sorted by part, so a task holds one part at a time.
+    What a link joins is one component from then on, so a part gives fewer links than it has members.
     """
-
-    def pairs_of(part, found):
-        uid, n, wanted, label, side = (part[c] for c in ("uid", "n", "wanted", "component", "side"))
-        own = [np.frombuffer(m, np.uint32) for m in part["marks"]]
-        g = len(uid)
-        two = side[0] != side[-1]
-        if g <= 16:
-            sets = [set(m.tolist()) for m in own]
-            for i in range(g):
-                for j in range(i + 1, g):
-                    if label[i] != label[j] and (not two or side[i] != side[j]) and 100 * min(n[i], n[j]) >= percent * max(n[i], n[j]) \
-                            and (min(wanted[i], wanted[j]) == 1 or len(sets[i] & sets[j]) >= min(wanted[i], wanted[j])):
-                        found.append((min(uid[i], uid[j]), max(uid[i], uid[j])))
-            return
-        values, place = np.unique(np.concatenate(own), return_inverse=True)
-        has = np.zeros((g, len(values)), np.float32)
-        has[np.repeat(np.arange(g), [len(m) for m in own]), place] = 1
-        uid, n, wanted, label, side = (np.array(x) for x in (uid, n, wanted, label, side))
-        for i in range(g):
-            j = np.arange(i + 1, g)
-            j = j[(label[j] != label[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
-            j = j[side[j] != side[i]] if two else j
-            if len(j):
-                need = np.minimum(wanted[j], wanted[i])
-                j = j[(need == 1) | (has[j] @ has[i] >= need)]
-                found.extend((min(int(uid[i]), x), max(int(uid[i]), x)) for x in uid[j].tolist())
+    uid, n, wanted, side = (np.array(part[c]) for c in ("uid", "n", "wanted", "side"))
+    label = np.unique(np.array(part["component"]), return_inverse=True)[1]
+    if label.min() == label.max():
+        return []
+    own = [np.frombuffer(m, np.uint32) for m in part["marks"]]
+    sets = [np.frombuffer(x, U64) for x in part["whole"]] if whole else None
+    two = side[0] != side[-1]
+    values, place = np.unique(np.concatenate(own), return_inverse=True)
+    has = np.zeros((len(uid), len(values)), np.float32)
+    has[np.repeat(np.arange(len(uid)), [len(m) for m in own]), place] = 1
+    found = []
+    for i in range(len(uid) - 1):
+        j = np.arange(i + 1, len(uid))
+        j = j[(label[j] != label[i]) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
+        j = j[side[j] != side[i]] if two else j
+        if len(j):
+            need = np.minimum(wanted[j], wanted[i])
+            j = j[(need == 1) | (has[j] @ has[i] >= need)]
+        for k in j.tolist():
+            if label[k] != label[i] and (not whole or overlaps(sets[i], sets[k], percent)):
+                label[label == label[k]] = label[i]
+                found.append((int(uid[i]), int(uid[k])))
+    return found
+
+
+def overlaps(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = np.concatenate((x, y))
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
+
+
+def links_of(parts: DataFrame, percent: int, whole: bool) -> DataFrame:
+    """``part_links`` (a, b) of all parts. Partitions are sorted by part, so a task holds one part at a time."""
 
     def batch_of(found):
-        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in set(found)], pa.int64()) for k in (0, 1)], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     def stream(reader):
-        held, last, found = None, None, []
+        held, found = None, []
         for batch in reader:
             columns = batch.to_pydict()
             part = np.array(columns["part"])
             edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))).tolist() if len(part) else [0]
             for a, b in zip(edges[:-1], edges[1:]):
                 rows = {c: v[a:b] for c, v in columns.items()}
-                if held is not None and last == rows["part"][0]:
+                if held is not None and held["part"][0] == rows["part"][0]:
                     held = {c: held[c] + rows[c] for c in held}
                     continue
                 if held is not None and len(held["uid"]) > 1:
-                    pairs_of(held, found)
-                held, last = rows, rows["part"][0]
-                if len(found) > 100_000:
-                    yield batch_of(found)
-                    found = []
+                    found += part_links(held, percent, whole)
+                held = rows
+            if len(found) > 10_000:
+                yield batch_of(found)
+                found = []
         if held is not None and len(held["uid"]) > 1:
-            pairs_of(held, found)
+            found += part_links(held, percent, whole)
         yield batch_of(found)
 
-    rows = parts.select("part", "side", "uid", "n", "wanted", "component", "marks")
-    return rows.repartition("part").sortWithinPartitions("part", "side").mapInArrow(stream, "a long, b long").distinct()
+    rows = parts.select("part", "side", "uid", "n", "wanted", "component", "marks", *(["whole"] if whole else []))
+    return rows.repartition("part").sortWithinPartitions("part", "side").mapInArrow(stream, "a long, b long")
+
+
+def cross_parts(members: DataFrame, key: str, group: int) -> DataFrame:
+    """Members dealt so that every two of one ``key`` in different components meet in a part: part, side.
+
+    The largest component of a key needs no pairs of its own, so its hash
+    classes of ``group`` members meet only those of the rest: rows grow with
+    its size times the classes of the rest.
+    """
+    sizes = members.groupBy(key, "component").agg(F.count("*").alias("size"))
+    of_key = sizes.groupBy(key).agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all"), F.count("*").alias("components")).where("components > 1")
+    rows = members.join(of_key, key).withColumn("main", F.col("component") == F.col("top.component"))
+    rows = rows.withColumn("mains", F.ceil(F.col("top.size") / group)).withColumn("rests", F.ceil((F.col("all") - F.col("top.size")) / group))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("uid"), F.when(F.col("main"), F.col("mains")).otherwise(F.col("rests"))))
+    one = F.lit(1).cast("bigint")
+    across = F.when(F.col("main"), F.transform(F.sequence(one * 0, F.col("rests") - 1), lambda r: F.struct(F.xxhash64(key, F.lit("x"), F.col("own"), r).alias("part"), F.lit(0).alias("side"))))
+    across = across.otherwise(F.concat(
+        F.transform(F.sequence(one * 0, F.col("mains") - 1), lambda m: F.struct(F.xxhash64(key, F.lit("x"), m, F.col("own")).alias("part"), F.lit(1).alias("side"))),
+        F.transform(F.sequence(one * 0, F.col("rests") - 1), lambda r: F.struct(F.xxhash64(key, F.lit("r"), F.least("own", r), F.greatest("own", r)).alias("part"),
+                                                                                (F.col("own") > r).cast("int").alias("side")))))
+    return rows.withColumn("at", F.explode(across)).select(*members.columns, "at.part", "at.side")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, most_shared: int = MOST_SHARED,
@@ -285,8 +321,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
        prefix travels with each posting; very long ones, for which that costs most, take l = 1.
     3. ``rounds`` times, each posting list compares its members with one of them, drawn anew, whole sets at once. What
        this links is one component, so lists of near copies are done without pairs.
-    4. Lists that still hold several components give the pairs across them that share enough prefix tokens; large ones
-       in pairs of hash classes of ``group`` members. Survivors are compared on whole sets.
+    4. Lists that still hold several components give a forest of the pairs across them that share enough prefix tokens;
+       what it reaches is a cluster, whose members are compared across components, first on prefixes, then on whole sets.
+       Both steps take lists and clusters in pairs of hash classes of ``group`` members and never emit pairs.
 
     No link is lost: the two filters are necessary conditions, and pairs of one component need none. Shingles are
     64-bit hashes (each different word hashed by its bytes). Null and blank texts have no shingles and link with nothing;
@@ -318,11 +355,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         own = cut(similar(pairs, sets, percent))
         links = own if links is None else links.union(own)
         labels = cut(connected(links, cut).withColumnRenamed("id", "uid"))
-    rest = lists.withColumn("component", F.col("uid")) if labels is None else lists.join(labels, "uid", "left").withColumn("component", F.coalesce("component", "uid"))
-    rest = written(rest, "join-lists")
+    labels = labels if labels is not None else lists.select("uid", F.col("uid").alias("component")).limit(0)
+    rest = lists.join(labels, "uid", "left").withColumn("component", F.coalesce("component", "uid"))
     mixed = rest.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("token")
-    pairs = candidates(block_pairs(rest.join(mixed, "token"), "token", ["uid"], group), percent)
-    own = cut(similar(pairs, sets, percent))
+    rest = written(rest.join(mixed, "token"), "join-lists")
+    near = links_of(cross_parts(rest, "token", group), percent, False)
+    ties = rest.select(F.col("uid").alias("a"), F.col("component").alias("b")).distinct()
+    clusters = connected(near.union(ties), cut).withColumnRenamed("id", "uid").withColumnRenamed("component", "cluster")
+    known = rest.dropDuplicates(["uid"]).select("uid", "n", "wanted", "marks", "component").join(clusters, "uid")
+    own = cut(links_of(cross_parts(known.join(sets.select("uid", "whole"), "uid"), "cluster", group), percent, True))
     links = own if links is None else links.union(own)
     reached = connected(links, cut).withColumnRenamed("id", "uid")
     named = heads.join(reached, "uid", "left").withColumn("component", F.coalesce("component", "uid")).select("set_id", "head", "component")
