@@ -21,10 +21,17 @@ GROUP_ROWS = 1_000_000    # speeds of a route that one task may sort
 
 
 def with_speed(df: DataFrame) -> DataFrame:
+    if "speed_mph" in df.columns:  # known already
+        return df
     hours = X.duration_hours("tpep_pickup_datetime", "tpep_dropoff_datetime")
     return df.withColumn("speed_mph", X.speed_mph(F.col("trip_distance"), hours))
 
 
+def speed_rows(df: DataFrame) -> DataFrame:
+    """What every table is learned from, written once: route, hour, speed, fare and distance of each trip."""
+    return written(with_speed(df).select(*ROUTE, "speed_mph", "fare_amount", "trip_distance"), "speed-rows")
+
+
 def route_sums(df: DataFrame) -> DataFrame:
     """Counts and sums per route and hour, merged before the shuffle: all means
     follow from them, and how many speeds a route has."""
@@ -36,7 +43,7 @@ def _speeds(df: DataFrame) -> DataFrame:
     return with_speed(df).select(*ROUTE, "speed_mph")
 
 
-def route_stats(df: DataFrame, approx: bool = False, sums: DataFrame | None = None) -> DataFrame:
+def route_stats(df: DataFrame, approx: bool = False, sums: DataFrame | None = None, stored: bool = False) -> DataFrame:
     """Median speed and number of speeds per pickup, dropoff and hour.
 
     A route of at most ``GROUP_ROWS`` speeds, by count, has its median in the one
@@ -55,20 +62,20 @@ def route_stats(df: DataFrame, approx: bool = False, sums: DataFrame | None = No
             return null_safe_join(rows, bounded(large), ROUTE, how)
 
         medians = in_large("left_anti").groupBy(*ROUTE).agg(median).unionByName(
-            grouped_median(in_large("left_semi"), ROUTE, "speed_mph", "route_avg_speed"))
+            grouped_median(in_large("left_semi"), ROUTE, "speed_mph", "route_avg_speed", stored=stored))
     return null_safe_join(sums.select(*ROUTE, F.col("speeds").alias("route_popularity")), medians, ROUTE, "left").select(
         *ROUTE, "route_avg_speed", "route_popularity")
 
 
-def zone_hour_speed(df: DataFrame, approx: bool = False, sums: DataFrame | None = None) -> DataFrame:
+def zone_hour_speed(df: DataFrame, approx: bool = False, sums: DataFrame | None = None, stored: bool = False) -> DataFrame:
     """Median speed per pickup zone and hour; those with only null speeds stay, with a null median."""
     sums = route_sums(df) if sums is None else sums
-    medians = grouped_median(_speeds(df), ZONE_HOUR, "speed_mph", "zone_hour_speed", approx=approx)
+    medians = grouped_median(_speeds(df), ZONE_HOUR, "speed_mph", "zone_hour_speed", approx=approx, stored=stored)
     return null_safe_join(sums.select(*ZONE_HOUR).distinct(), medians, ZONE_HOUR, "left").select(*ZONE_HOUR, "zone_hour_speed")
 
 
-def global_speed(df: DataFrame, approx: bool = False) -> DataFrame:
-    return grouped_median(_speeds(df), [], "speed_mph", "median_speed", approx=approx)
+def global_speed(df: DataFrame, approx: bool = False, stored: bool = False) -> DataFrame:
+    return grouped_median(_speeds(df), [], "speed_mph", "median_speed", approx=approx, stored=stored)
 
 
 @dataclass
@@ -96,19 +103,23 @@ class FeatureTables:
 
 
 def learn_tables(train: DataFrame, cfg: Config = Config()) -> dict[str, DataFrame]:
-    """All tables but the clusters. Zone means come from the sums per route and hour."""
+    """All tables but the clusters. Zone means come from the sums per route and hour.
+
+    The trips are read once: sums and all medians come from the written rows of ``speed_rows``.
+    """
+    train = speed_rows(train)
     sums = route_sums(train)
 
     def mean(total, name):
         return (F.sum(total) / F.sum("n")).alias(name)
 
-    overall = global_speed(train, cfg.approx_medians).select("median_speed").scalar()
+    overall = global_speed(train, cfg.approx_medians, stored=True).select("median_speed").scalar()
     return {
         "pu_fare": sums.groupBy("PULocationID").agg(mean("fare", "PU_fare_avg")),
         "do_fare": sums.groupBy("DOLocationID").agg(mean("fare", "DO_fare_avg")),
         "profile": sums.groupBy("PULocationID").agg(mean("fare", "mean_fare"), mean("miles", "mean_distance")),
-        "route_stats": route_stats(train, cfg.approx_medians, sums),
-        "zone_hour_speed": zone_hour_speed(train, cfg.approx_medians, sums),
+        "route_stats": route_stats(train, cfg.approx_medians, sums, stored=True),
+        "zone_hour_speed": zone_hour_speed(train, cfg.approx_medians, sums, stored=True),
         "globals": sums.agg(mean("fare", "mean_fare")).select("mean_fare", overall.alias("median_speed")),
     }
 

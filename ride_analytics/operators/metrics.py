@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ride_analytics.functions import columns as X
 from ride_analytics.operators.joins import null_safe_join
 from ride_analytics.operators.quantiles import grouped_median
+from ride_analytics.sources.storage import written
 
 METRICS = ("Accuracy (%)", "MAE", "MedAE", "RMSE", "R²")
 
@@ -24,19 +25,21 @@ def regression_metrics(df: DataFrame, label: str = "fare_amount", prediction: st
     """Accuracy, MAE, median error, RMSE and R², one row per group.
 
     All but the median come from one aggregate; R² is null when the label is
-    constant.
+    constant. The rows' errors are written once, so ``df`` is evaluated once.
     """
     groups = list(groups)
-    err = df.withColumn("_ae", X.absolute_error(label, prediction))
+    err = df.select(*[F.col(f"`{g}`") for g in groups], F.col(f"`{label}`").alias("_label"), X.absolute_error(label, prediction).alias("_ae"),
+                    X.percentage_error(label, prediction).alias("_pe"))
+    err = err if approx else written(err, "errors")
     basic = err.groupBy(*groups).agg(
-        accuracy(F.avg(X.percentage_error(label, prediction))).alias("Accuracy (%)"),
+        accuracy(F.avg("_pe")).alias("Accuracy (%)"),
         F.avg("_ae").alias("MAE"),
         F.sqrt(F.avg(F.col("_ae") * F.col("_ae"))).alias("RMSE"),
-        (1.0 - F.try_divide(F.sum(F.col("_ae") * F.col("_ae")), F.count("_ae") * F.var_pop(label))).alias("R²"))
+        (1.0 - F.try_divide(F.sum(F.col("_ae") * F.col("_ae")), F.count("_ae") * F.var_pop("_label"))).alias("R²"))
     if groups:
-        out = null_safe_join(basic, grouped_median(err, groups, "_ae", "MedAE", approx=approx), groups, "left")
+        out = null_safe_join(basic, grouped_median(err, groups, "_ae", "MedAE", approx=approx, stored=True), groups, "left")
     else:
-        median = grouped_median(err, [], "_ae", "MedAE", approx=approx).select("MedAE").scalar()
+        median = grouped_median(err, [], "_ae", "MedAE", approx=approx, stored=True).select("MedAE").scalar()
         out = basic.withColumn("MedAE", median)
     names = [F.lit(model).alias("Model")] if model is not None else []
     return out.select(*names, *[F.col(f"`{g}`") for g in groups], *[F.col(f"`{m}`") for m in METRICS])

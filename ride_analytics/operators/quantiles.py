@@ -6,6 +6,9 @@ wanted ranks are narrowed down instead: a sketch cuts the values into ranges,
 rows are counted per group and range, and only the ranges that hold a wanted
 rank go on. Each round leaves about ``1 / RANGES`` of the rows, whatever the
 share of the largest group, and shuffles only counts; what remains is sorted.
+
+The source, with its joins and rules, is evaluated once: keys and value are
+written, two narrow columns, and counts, edges and all rounds read those.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ride_analytics.operators.joins import bounded, null_safe_join
-from ride_analytics.sources.storage import cut
+from ride_analytics.sources.storage import cut, written
 
 RANGES = 1024
 SMALL_ROWS = 2_000_000
@@ -42,12 +45,13 @@ def _edges(values: DataFrame, size: int, ranges: int) -> list[float]:
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float],
                       weight: str | None = None, approx: bool = False,
-                      small_rows: int = SMALL_ROWS, ranges: int = RANGES) -> DataFrame:
+                      small_rows: int = SMALL_ROWS, ranges: int = RANGES, stored: bool = False) -> DataFrame:
     """Quantiles of ``value`` per group, by linear interpolation.
 
     ``probs`` maps output names to probabilities. Nulls and NaN do not count;
     groups without any value are absent. ``weight`` names a column of row
-    counts. ``approx`` gives Spark's mergeable sketch in one pass.
+    counts. ``approx`` gives Spark's mergeable sketch in one pass. ``stored``
+    says that ``df`` is a written table already, which is not written again.
     """
     keys, v = list(keys), F.col(value).cast("double")
     n = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
@@ -60,6 +64,7 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dic
     if approx:
         q = values.groupBy(*keys).agg(F.percentile_approx("_v", listed, APPROX_ACCURACY).alias("_q"))
         return q.where(F.col("_q").isNotNull()).select(*keys, *named)
+    values = values if stored else written(values, "quantile-values")
     size = values.count()
     if size <= small_rows:
         q = values.groupBy(*keys).agg(F.percentile("_v", F.array(*[F.lit(p) for p in listed]), F.col("_n")).alias("_q"))
@@ -130,8 +135,8 @@ def _values_at(values: DataFrame, keys: list[str], within: list[str], ranks: Dat
 
 
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, name: str, weight: str | None = None,
-                   approx: bool = False) -> DataFrame:
-    return grouped_quantiles(df, keys, value, {name: 0.5}, weight=weight, approx=approx)
+                   approx: bool = False, stored: bool = False) -> DataFrame:
+    return grouped_quantiles(df, keys, value, {name: 0.5}, weight=weight, approx=approx, stored=stored)
 
 
 def box_statistics(df: DataFrame, keys: Sequence[str], value: str, small_rows: int = SMALL_ROWS) -> DataFrame:
@@ -139,8 +144,9 @@ def box_statistics(df: DataFrame, keys: Sequence[str], value: str, small_rows: i
     inter-quartile range, never inside the box."""
     keys, v = list(keys), F.col(value).cast("double")
     quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    q = cut(grouped_quantiles(df, keys, value, quartiles, small_rows=small_rows))
     rows = df.select(*[F.col(f"`{k}`") for k in keys], v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    rows = written(rows, "box-values")  # the quartiles and the whiskers read it; the source is evaluated once
+    q = cut(grouped_quantiles(rows, keys, "_v", quartiles, small_rows=small_rows, stored=True))
     if keys:
         joined = null_safe_join(rows, bounded(q), keys)
     else:
@@ -157,15 +163,17 @@ def box_statistics(df: DataFrame, keys: Sequence[str], value: str, small_rows: i
 
 def describe(df: DataFrame, values: Sequence[str], digits: int | None = 2, approx: bool = False) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum, one row per column."""
+    listed = [F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double")).alias(f"_{i}") for i, c in enumerate(values)]
+    table = df.select(*listed) if approx else written(df.select(*listed), "described")  # the source is evaluated once
+    name = F.element_at(F.array(*[F.lit(c) for c in values]), F.substring("_of", 2, 9).cast("int") + 1)
+    long = table.unpivot([], [f"_{i}" for i in range(len(values))], "_of", "_v").withColumn("column", name)
+    q = grouped_quantiles(long, ["column"], "_v", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, approx=approx, stored=True)
     rows = None
-    for c in values:
-        v = F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
-        basic = df.agg(F.lit(c).alias("column"), F.count(v).alias("count"), F.avg(v).alias("mean"),
-                       F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
-        q = grouped_quantiles(df.withColumn("column", F.lit(c)), ["column"], c,
-                              {"q25": 0.25, "q50": 0.5, "q75": 0.75}, approx=approx)
-        one = basic.join(q, "column", "left")
+    for i, c in enumerate(values):
+        v = F.col(f"_{i}")
+        one = table.agg(F.lit(c).alias("column"), F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
         rows = one if rows is None else rows.unionByName(one)
+    rows = rows.join(q, "column", "left")
     if digits is None:
         return rows
     return rows.select("column", "count", *[F.round(c, digits).alias(c)

@@ -66,11 +66,18 @@ def fingerprint(*inputs: DataFrame) -> str:
     for df in inputs:
         files = sorted(df.inputFiles())
         if files:
-            parts.append(df._jdf.queryExecution().optimizedPlan().canonicalized().toString())
-            conf, paths = df.sparkSession._jsc.hadoopConfiguration(), df.sparkSession._jvm.org.apache.hadoop.fs.Path
-            for name in files:
-                status = paths(name).getFileSystem(conf).getFileStatus(paths(name))
-                parts.append(f"{name}:{status.getLen()}:{status.getModificationTime()}")
+            spark = df.sparkSession
+            cut_after = spark.conf.get("spark.sql.debug.maxToStringFields")
+            spark.conf.set("spark.sql.debug.maxToStringFields", str(2**31 - 1))  # else two plans with long lists look alike
+            try:
+                parts.append(df._jdf.queryExecution().optimizedPlan().canonicalized().toString())
+            finally:
+                spark.conf.set("spark.sql.debug.maxToStringFields", cut_after)
+            folders = sorted({name.rsplit("/", 1)[0] for name in files})
+            # sizes and times are read and hashed by the executors; contents are not
+            status = spark.read.format("binaryFile").load(folders).select(F.xxhash64("path", "length", "modificationTime").alias("h"))
+            parts.append("\n".join(files) if len(files) <= 1000 else hashlib.md5("\n".join(files).encode()).hexdigest())
+            parts.append(str(status.agg(F.count("h"), F.sum(F.col("h").cast("decimal(38,0)"))).first()))
         else:
             row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
             parts.append(f"{df.schema.simpleString()}:{row[0]}:{row[1]}")

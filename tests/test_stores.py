@@ -31,6 +31,15 @@ def test_fingerprint_follows_files_and_plan(spark):
     assert storage.fingerprint(spark.read.parquet(path)) != first
 
 
+def test_fingerprint_sees_every_column(spark):
+    path = storage.fresh_path(spark, "wide")
+    spark.range(5).write.parquet(path)
+    rows = spark.read.parquet(path)
+    a, b = (rows.select(*[(F.col("id") + (k if i == 35 else 0)).alias(f"c{i}") for i in range(40)]) for k in (1, 7))
+    assert storage.fingerprint(a) != storage.fingerprint(b)
+    assert storage.fingerprint(a) == storage.fingerprint(rows.select(*[(F.col("id") + (1 if i == 35 else 0)).alias(f"c{i}") for i in range(40)]))
+
+
 def test_models_are_kept_by_all_they_depend_on(spark, known):
     from ride_analytics.config import Config
     from ride_analytics.models import estimators as E
