@@ -45,6 +45,26 @@ def regression_metrics(df: DataFrame, label: str = "fare_amount", prediction: st
     return out.select(*names, *[F.col(f"`{g}`") for g in groups], *[F.col(f"`{m}`") for m in METRICS])
 
 
+def metrics_by_sets(df: DataFrame, sets: Sequence[Sequence[str]], label: str = "fare_amount", prediction: str = "prediction",
+                    approx: bool = False) -> DataFrame:
+    """All metrics over several groupings at once: grouping (names joined by a comma), its columns (null where not in it) and the metrics.
+
+    ``df`` holds the predictions of all models and periods, a row each. It is
+    evaluated once; each row is expanded to its groupings and the groups merge map-side, in one aggregate and one median.
+    """
+    names = list(dict.fromkeys(g for own in sets for g in own))
+    types = dict(df.dtypes)
+    if not sets:
+        raise ValueError("no grouping")
+
+    def entry(own):
+        cells = [(F.col(f"`{g}`") if g in own else F.lit(None).cast(types[g])).alias(g) for g in names]
+        return F.struct(F.lit(",".join(own)).alias("grouping"), *cells)
+
+    rows = df.select(F.explode(F.array(*[entry(list(own)) for own in sets])).alias("_set"), F.col(f"`{label}`").alias("_y"), F.col(f"`{prediction}`").alias("_p"))
+    return regression_metrics(rows.select("_set.*", "_y", "_p"), "_y", "_p", ["grouping", *names], approx=approx)
+
+
 def to_long(metrics: DataFrame, model: str = "Model") -> DataFrame:
     """One row per model and metric."""
     return metrics.select(F.col(model).alias("model"), *[F.col(f"`{m}`") for m in METRICS]).unpivot(

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scans", "aggregates", "expressions", "errors", "learned")
+MODULES = ("scans", "aggregates", "expressions", "errors", "linear", "learned")
 
 
 def load_all():
