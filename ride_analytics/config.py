@@ -81,7 +81,7 @@ class Config:
     contamination: float = 0.01
     outlier_fit_on: str = "all"      # or "train"
     zone_clusters: int = 15
-    cluster_restarts: int = 10
+    cluster_rounds: int = 20
     balance: bool = True
     balance_target: int = 30_000
     legacy_folds: bool = False

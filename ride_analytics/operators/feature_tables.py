@@ -130,7 +130,7 @@ def fit_feature_tables(train: DataFrame, cfg: Config = Config(), root: str | Non
     root = root or fresh_path(spark, "feature-tables")
     learned = learn_tables(train, cfg)
     profile = written(learned.pop("profile"), "zone-profile")
-    clusters = cluster_zones(profile, cfg.zone_clusters, cfg.cluster_restarts, cfg.seed)
+    clusters = cluster_zones(profile, cfg.zone_clusters, cfg.cluster_rounds)
     FeatureTables(zone_cluster=clusters, **learned).save(root)
     return FeatureTables.load(spark, root)
 

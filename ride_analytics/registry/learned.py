@@ -112,18 +112,38 @@ def _(spark, sf):
     return SA.paired_outlier_sample(flagged(spark, sf), 2_000).select("row_key", "fare_amount", "is outlier")
 
 
-@query("zone_clusters", None)
+def cluster_views(where: str) -> list[str]:
+    """SQL views of the same clustering, ``numbered`` the last: each seed and each round is a view of its own."""
+    far = "(z.f - s.f) ** 2 + (z.d - s.d) ** 2"
+    out = [f"""z AS MATERIALIZED (SELECT PULocationID AS id, avg(fare_amount) AS f, avg(trip_distance) AS d FROM city {where} GROUP BY 1)""",
+           "s0 AS MATERIALIZED (SELECT 0 AS i, f, d FROM z ORDER BY f, d LIMIT 1)",
+           f"n0 AS MATERIALIZED (SELECT z.*, {far} AS m FROM z, s0 s)"]
+    for i in range(1, CFG.zone_clusters):
+        out += [f"s{i} AS MATERIALIZED (SELECT {i} AS i, f, d FROM n{i - 1} WHERE m > 0 ORDER BY m DESC, id LIMIT 1)",
+                f"n{i} AS MATERIALIZED (SELECT z.* REPLACE (least(z.m, coalesce({far}, z.m)) AS m) FROM n{i - 1} z LEFT JOIN s{i} s ON true)"]
+    out.append("c0 AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM s{i}" for i in range(CFG.zone_clusters)) + ")")
+    for r in range(CFG.cluster_rounds + 1):
+        out.append(f"a{r} AS MATERIALIZED (SELECT z.id, z.f, z.d, s.i FROM z, c{r} s QUALIFY row_number() OVER (PARTITION BY z.id ORDER BY {far}, s.i) = 1)")
+        out.append(f"c{r + 1} AS MATERIALIZED (SELECT c.i, coalesce(avg(a.f), any_value(c.f)) AS f, coalesce(avg(a.d), any_value(c.d)) AS d FROM c{r} c LEFT JOIN a{r} a ON a.i = c.i GROUP BY c.i)")
+    last = CFG.cluster_rounds
+    out.append(f"""numbered AS MATERIALIZED (SELECT a.id AS PULocationID, a.f AS mean_fare, a.d AS mean_distance, c.rank AS pickup_cluster
+      FROM a{last} a JOIN (SELECT i, CAST(row_number() OVER (ORDER BY f, d) - 1 AS INTEGER) AS rank FROM c{last}) c ON c.i = a.i)""")
+    return out
+
+
+@query("zone_clusters", sql("SELECT * FROM numbered", *cluster_views(""), doubles=["mean_fare", "mean_distance"]))
 def _(spark, sf):
     profile = storage.written(S.zone_profile(city(spark, sf)), "zone-profile")
-    return cluster_zones(profile, CFG.zone_clusters, CFG.cluster_restarts)
+    return rounded(cluster_zones(profile, CFG.zone_clusters, CFG.cluster_rounds))
 
 
-@query("cluster_lookup", None)
+@query("cluster_lookup", sql("SELECT row_key, c.PULocationID, coalesce(n.pickup_cluster, -1) AS pickup_cluster FROM city c LEFT JOIN numbered n ON n.PULocationID = c.PULocationID",
+                              *cluster_views("WHERE PU_Boro = 'ASIA'")))
 def _(spark, sf):
     """Clusters learned from the home borough; other zones get -1."""
     df = city(spark, sf)
     profile = storage.written(S.zone_profile(df.where("PU_Boro = 'ASIA'")), "zone-profile")
-    table = storage.written(cluster_zones(profile, CFG.zone_clusters, CFG.cluster_restarts), "zone-cluster")
+    table = storage.written(cluster_zones(profile, CFG.zone_clusters, CFG.cluster_rounds), "zone-cluster")
     return FT.add_clusters(df, table).select("row_key", "PULocationID", "pickup_cluster")
 
 
@@ -132,7 +152,7 @@ def _(spark, sf):
     """Exactly the trips from zones outside the learned borough have no cluster."""
     df = city(spark, sf)
     profile = storage.written(S.zone_profile(df.where("PU_Boro = 'ASIA'")), "zone-profile")
-    table = storage.written(cluster_zones(profile, CFG.zone_clusters, CFG.cluster_restarts), "zone-cluster")
+    table = storage.written(cluster_zones(profile, CFG.zone_clusters, CFG.cluster_rounds), "zone-cluster")
     return (FT.add_clusters(df, table).groupBy((F.col("pickup_cluster") == -1).alias("unseen"))
               .agg(F.count(F.lit(1)).alias("n")))
 
@@ -242,7 +262,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Every zone is in exactly one of the clusters."""
     profile = storage.written(S.zone_profile(city(spark, sf)), "zone-profile")
-    table = cluster_zones(profile, CFG.zone_clusters, CFG.cluster_restarts)
+    table = cluster_zones(profile, CFG.zone_clusters, CFG.cluster_rounds)
     return table.groupBy("PULocationID").agg(F.countDistinct("pickup_cluster").cast("int").alias("clusters"),
                                              F.min(F.col("pickup_cluster").between(0, CFG.zone_clusters - 1)).alias("in_range"))
 

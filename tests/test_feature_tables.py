@@ -8,7 +8,7 @@ from ride_analytics.operators import feature_tables as FT
 from ride_analytics.operators.zone_clusters import cluster_zones
 from ride_analytics.sources.small import small_table
 
-CFG = Config(zone_clusters=2, cluster_restarts=2)
+CFG = Config(zone_clusters=2, cluster_rounds=2)
 DDL = ("row_key string, PULocationID int, DOLocationID int, hour int, fare_amount double, trip_distance double, "
        "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, fold int")
 T0 = dt.datetime(2025, 1, 1, 8)

@@ -10,7 +10,7 @@ from ride_analytics.operators import metrics as M
 from ride_analytics.plans import drift, exploration, prepare, training
 from ride_analytics.sources import storage
 
-CFG = Config(home_borough="Home", feature_mode="FULL", zone_clusters=4, cluster_restarts=2, folds=3, balance_target=1500)
+CFG = Config(home_borough="Home", feature_mode="FULL", zone_clusters=4, cluster_rounds=2, folds=3, balance_target=1500)
 
 
 @pytest.fixture(scope="module")
