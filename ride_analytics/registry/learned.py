@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ride_analytics.config import Config
+from ride_analytics.config import FEATURE_SETS, Config
 from ride_analytics.models import estimators as E
 from ride_analytics.models import importance as I
 from ride_analytics.models import tuning as T
@@ -23,7 +23,7 @@ from ride_analytics.operators import summaries as S
 from ride_analytics.operators.zone_clusters import cluster_zones
 from ride_analytics.plans import drift, exploration, prepare, training
 from ride_analytics.functions.bins import FARE_CLASSES
-from ride_analytics.registry.base import case_bins, check_holidays, city, query, rounded, sql, trips, zones
+from ride_analytics.registry.base import case_bins, check_holidays, city, hash_sql, query, rounded, sql, trips, zones
 from ride_analytics.sources import storage
 from ride_analytics.sources.trips import in_months
 
@@ -112,10 +112,10 @@ def _(spark, sf):
     return SA.paired_outlier_sample(flagged(spark, sf), 2_000).select("row_key", "fare_amount", "is outlier")
 
 
-def cluster_views(where: str) -> list[str]:
+def cluster_views(where: str, source: str = "city") -> list[str]:
     """SQL views of the same clustering, ``numbered`` the last: each seed and each round is a view of its own."""
     far = "(z.f - s.f) ** 2 + (z.d - s.d) ** 2"
-    out = [f"""z AS MATERIALIZED (SELECT PULocationID AS id, avg(fare_amount) AS f, avg(trip_distance) AS d FROM city {where} GROUP BY 1)""",
+    out = [f"""z AS MATERIALIZED (SELECT PULocationID AS id, avg(fare_amount) AS f, avg(trip_distance) AS d FROM {source} {where} GROUP BY 1)""",
            "s0 AS MATERIALIZED (SELECT 0 AS i, f, d FROM z ORDER BY f, d LIMIT 1)",
            f"n0 AS MATERIALIZED (SELECT z.*, {far} AS m FROM z, s0 s)"]
     for i in range(1, CFG.zone_clusters):
@@ -147,6 +147,39 @@ def _(spark, sf):
     return FT.add_clusters(df, table).select("row_key", "PULocationID", "pickup_cluster")
 
 
+def _feature_set(mode):
+    listed = ", ".join(f'"{c}"' for c in FEATURE_SETS[mode]["features"])
+    learned = [c for c in FEATURE_SETS[mode]["features"] if c in ("PU_fare_avg", "DO_fare_avg", "route_avg_speed")]
+
+    @query(f"feature_set_{mode.lower()}", sql(f"SELECT row_key, {listed}, fare_amount FROM looked_up", *LEARNED_VIEWS, doubles=learned))
+    def _(spark, sf):
+        """All columns of the set: tables learned from the training trips, looked up for the test trips."""
+        df = SA.with_test_flag(city(spark, sf))
+        cfg = Config(home_borough=None, feature_mode=mode)
+        tables = FT.fit_feature_tables(df.where(~F.col("is_test")), cfg)
+        out = FT.apply_feature_tables(df.where("is_test"), tables)
+        return rounded(out.select("row_key", *[F.col(f"`{c}`") for c in cfg.features], "fare_amount"))
+
+
+LEARNED_VIEWS = [
+    f"tagged AS MATERIALIZED (SELECT row_key, {hash_sql()} % 100 < 20 AS is_test FROM city)",
+    "train AS MATERIALIZED (SELECT s.* FROM speeds s JOIN tagged t ON s.row_key = t.row_key WHERE NOT t.is_test)",
+    *cluster_views("", "train"),
+    """looked_up AS (SELECT c.*, coalesce(p.f, g.f) AS PU_fare_avg, coalesce(d.f, g.f) AS DO_fare_avg, coalesce(n.pickup_cluster, -1) AS pickup_cluster,
+        coalesce(r.s, b.s, g.s) AS route_avg_speed, coalesce(r.n, 0) AS route_popularity
+      FROM city c JOIN tagged t ON c.row_key = t.row_key
+      LEFT JOIN (SELECT PULocationID AS k, avg(fare_amount) AS f FROM train GROUP BY 1) p ON c.PULocationID = p.k
+      LEFT JOIN (SELECT DOLocationID AS k, avg(fare_amount) AS f FROM train GROUP BY 1) d ON c.DOLocationID = d.k
+      LEFT JOIN numbered n ON n.PULocationID = c.PULocationID
+      LEFT JOIN (SELECT PULocationID AS k, DOLocationID AS l, "hour" AS h, median(speed_mph) AS s, count(speed_mph) AS n FROM train GROUP BY 1, 2, 3) r
+        ON c.PULocationID = r.k AND c.DOLocationID = r.l AND c."hour" = r.h
+      LEFT JOIN (SELECT PULocationID AS k, "hour" AS h, median(speed_mph) AS s FROM train GROUP BY 1, 2) b ON c.PULocationID = b.k AND c."hour" = b.h
+      CROSS JOIN (SELECT median(speed_mph) AS s, avg(fare_amount) AS f FROM train) g WHERE t.is_test)""",
+]
+for _mode in FEATURE_SETS:
+    _feature_set(_mode)
+
+
 @query("cluster_lookup_unseen_zones", sql("SELECT PU_Boro <> 'ASIA' AS unseen, count(*) AS n FROM city GROUP BY 1"))
 def _(spark, sf):
     """Exactly the trips from zones outside the learned borough have no cluster."""

@@ -9,6 +9,7 @@ from ride_analytics.functions import columns as X
 from ride_analytics.operators import cleaning as C
 from ride_analytics.operators import summaries as S
 from ride_analytics.operators.feature_tables import add_zone_fares
+from ride_analytics.operators.summaries import zone_map_table
 from ride_analytics.registry.base import (_KEPT, ALL_BOROUGHS, CHECK_CONFIG, check_holidays, city, home, query, rounded,
                                           sql, trips, zones)
 from ride_analytics.sources import storage
@@ -97,6 +98,14 @@ def _(spark, sf):
     return zones(spark, sf).where(F.lower("Borough") == "asia").select("LocationID", "Zone")
 
 
+@query("zone_map_of_borough", sql("""SELECT z.LocationID, z.Borough, z.Zone, avg(c.fare_amount) AS mean_fare, count(c.row_key) FILTER (c.row_key IS NOT NULL) AS n
+  FROM zones z LEFT JOIN city c ON c.PULocationID = z.LocationID WHERE lower(z.Borough) = 'asia' GROUP BY 1, 2, 3""", doubles=["mean_fare"]))
+def _(spark, sf):
+    """The map's zones by the operator's own filter, in another letter case than the table's."""
+    table = zone_map_table(city(spark, sf), zones(spark, sf), borough="aSiA")
+    return rounded(table.withColumn("n", F.coalesce("trip_count", F.lit(0).cast("bigint"))).drop("trip_count"))
+
+
 def _projection(mode):
     cols = [c for c in FEATURE_SETS[mode]["features"]
             if c not in ("PU_fare_avg", "DO_fare_avg", "route_avg_speed", "pickup_cluster", "route_popularity")]
