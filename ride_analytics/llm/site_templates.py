@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import html
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ride_analytics.llm.common import U64, mix
+from ride_analytics.sources.storage import written
+
 # fixed values: element names of HTML, and names that sites give to furniture
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math xmp noembed noframes".split())
@@ -132,6 +137,11 @@ def subtree_digests(page: str, elements: list[Element]) -> None:
         e.digest = int.from_bytes(hashlib.blake2b(page[e.begin:e.end].encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True) & ~3 | kind
 
 
+@functools.lru_cache(maxsize=1 << 16)
+def word_hash(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) + 1
+
+
 def surroundings(elements: list[Element], texts: list[tuple[int, str]]) -> dict[int, int]:
     """For each digest of running text, the least hash of three words in a row of the rest of the article; 0 without a rest.
 
@@ -139,13 +149,21 @@ def surroundings(elements: list[Element], texts: list[tuple[int, str]]) -> dict[
     """
     none, n = 1 << 32, len(elements)
     least, last = [none] * n, list(range(n))
+    owners, begin, hashes = [], [], []
     for k, text in texts:
-        if elements[k].marks & IN_BODY and not elements[k].marks & DROPPED:
-            w = text.split()
-            for j in range(max(1, len(w) - 2) if w else 0):
-                h = zlib.crc32(" ".join(w[j:j + 3]).encode("utf-8", "surrogatepass")) * 0x9E3779B1 & 0xFFFFFFFF
-                if h < least[k]:
-                    least[k] = h
+        if elements[k].marks & IN_BODY and not elements[k].marks & DROPPED and (w := text.split()):
+            owners.append(k)
+            begin.append(len(hashes))
+            hashes += map(word_hash, w)
+            hashes += [0] * (3 - len(w))  # a shorter text counts whole
+    if owners:
+        h = np.array(hashes, np.uint64)
+        three = np.full(len(h), none, np.uint64)
+        three[:-2] = mix((h[:-2] * U64(0x9E3779B1) + h[1:-1]) * U64(0x85EBCA6B) + h[2:]) >> U64(32)
+        ends = np.array([*begin[1:], len(h)])
+        three[ends - 1] = three[ends - 2] = none
+        for k, x in zip(owners, np.minimum.reduceat(three, begin).tolist()):
+            least[k] = min(least[k], x)
     before, after = [none] * (n + 1), [none] * (n + 1)
     for k in range(n):
         before[k + 1] = min(before[k], least[k])
@@ -161,26 +179,25 @@ def surroundings(elements: list[Element], texts: list[tuple[int, str]]) -> dict[
 
 
 def main_text(elements: list[Element], texts: list[tuple[int, str]], templates: frozenset[int]) -> str:
-    """Text of the blocks that remain without templates and furniture; of the article where a page has one."""
-    dropped, body, block = [False] * len(elements), [False] * len(elements), [0] * len(elements)
-    has_body = False
+    """Text of the blocks that remain without templates and furniture: only those of the article if they hold half of that text."""
+    dropped, block = [False] * len(elements), [0] * len(elements)
     for k, e in enumerate(elements):
         up = e.up
         dropped[k] = bool(e.marks & DROPPED) or up >= 0 and dropped[up] or e.digest in templates
-        body[k] = bool(e.marks & IN_BODY)
-        has_body |= body[k] and not dropped[k]
         block[k] = block[up] if up >= 0 and e.tag in INLINE else k
-    out, last, parts = [], None, []
+    out, last, parts, inside = [], None, [], False
     for k, text in texts:
-        if dropped[k] or has_body and not body[k]:
+        if dropped[k]:
             continue
         if block[k] != last:
-            out.append("".join(parts))
-            parts, last = [], block[k]
+            out.append((inside, "".join(parts)))
+            parts, last, inside = [], block[k], bool(elements[block[k]].marks & IN_BODY)
         parts.append(text)
-    out.append("".join(parts))
-    blocks = (WHITE_RUN.sub(" ", html.unescape(b)).strip() for b in out)
-    return " ".join(b for b in blocks if b)
+    out.append((inside, "".join(parts)))
+    blocks = [(i, t) for i, b in out if (t := WHITE_RUN.sub(" ", html.unescape(b)).strip())]
+    if 2 * sum(len(t) for i, t in blocks if i) >= sum(len(t) for _, t in blocks) > 0:
+        blocks = [(i, t) for i, t in blocks if i]
+    return " ".join(t for _, t in blocks)
 
 
 def extract_main_text(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2, many_pages: int = 50) -> DataFrame:
@@ -194,43 +211,50 @@ def extract_main_text(pages: DataFrame, min_pages: int = 5, min_share: float = 0
     footers, sidebars, notices, adverts, forms, scripts, styles, comments).
     Paragraphs, headings, items and cells inside an article go by the same
     counts, but only over articles that differ elsewhere: at least ``min_pages``
-    and half of those that hold them. Null html counts as empty and gives an
-    empty text; pages without url form one host; repeated rows give a row each;
-    an empty table gives no rows.
+    and half of those that hold them. Of what remains, text outside an article
+    goes only where the article holds at least half of it. Null html counts as
+    empty and gives an empty text; pages without url form one host; repeated
+    rows give a row each; an empty table gives no rows.
+
+    A page is parsed twice: once for its digests, which are written, counted and
+    matched with the templates, and once for its text. The lists of templates
+    come back to the pages by key, map-side while Spark's size statistics allow
+    it, else by one shuffle of the pages; no task holds a host.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    key = F.xxhash64("page_id", "url", "html")
-    rows = rows.withColumn("host", host).withColumn("page_key", key)
+    rows = rows.withColumn("page_key", F.xxhash64("page_id", "url", "html"))
 
     def digests(reader):
         for batch in reader:
             for a in range(0, len(batch), 256):
                 part = batch.slice(a, 256)
-                hosts, keys, contents, found, rests = [], [], [], [], []
-                for h, k, c, page in zip(part.column("host").to_pylist(), part.column("page_key").to_pylist(), part.column("content").to_pylist(),
-                                         part.column("html").to_pylist()):
+                found, rests = [], []
+                for page in part.column("html").to_pylist():
                     elements, pieces = parse(page or "")
                     subtree_digests(page or "", elements)
                     own = {e.digest: 0 for e in elements if e.digest is not None} | surroundings(elements, pieces)
-                    own[0] = 0  # counts the pages of the host
-                    hosts += [h] * len(own)
-                    keys += [k] * len(own)
-                    contents += [c] * len(own)
-                    found += own
-                    rests += own.values()
-                yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(x, pa.int64()) for x in (keys, contents, found, rests))],
-                                                 ["host", "page_key", "content", "digest", "rest"])
-
-    content = F.xxhash64(F.coalesce("html", F.lit("")))
-    seen = rows.select("host", "page_key", content.alias("content"), "html").mapInArrow(digests, "host string, page_key long, content long, digest long, rest long")
-    counts = (seen.groupBy("host", "digest", "rest", "content").agg(F.lit(1).alias("one")).groupBy("host", "digest", "rest").agg(F.count("*").alias("n"))
+                    found.append(list(own))
+                    rests.append(list(own.values()))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *(pa.array(x, pa.list_(pa.int64())) for x in (found, rests))],
+                                                 [*names, "digests", "rests"])
+
+    # hosts and contents stand for themselves by 64 bits
+    names = ["host", "page_key", "content"]
+    keys = rows.select(F.xxhash64(host).alias("host"), "page_key", F.xxhash64(F.coalesce("html", F.lit(""))).alias("content"), "html")
+    marks = written(keys.mapInArrow(digests, "host long, page_key long, content long, digests array<long>, rests array<long>"), "page-digests")
+    total = marks.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
+    seen = marks.select("host", "content", F.explode(F.arrays_zip("digests", "rests")).alias("d")).select("host", "content", "d.digests", "d.rests")
+    # contents that share a digest and its surroundings are counted once each; then surroundings, then the digest
+    counts = (seen.groupBy("host", F.col("digests").alias("digest"), F.col("rests").alias("rest"), "content").agg(F.lit(1).alias("one"))
+              .groupBy("host", "digest", "rest").agg(F.count("*").alias("n"))
               .groupBy("host", "digest").agg(F.sum("n").alias("n"), F.count(F.when(F.col("rest") != 0, 1)).alias("rests")))
-    total = counts.where("digest = 0").select("host", F.col("n").alias("host_pages"))
     running, block = F.col("digest").bitwiseAND(RUNNING) != 0, F.col("digest").bitwiseAND(BLOCK) != 0
-    templates = (counts.where(F.col("n") >= min_pages).where("digest <> 0").where(~running | (F.col("rests") >= min_pages) & (F.col("rests") * 2 >= F.col("n")))
-                 .join(total, "host").where((F.col("n") >= min_share * F.col("host_pages")) | block & (F.col("n") >= many_pages)).select("host", "digest"))
-    lists = (seen.join(templates, ["host", "digest"]).groupBy("page_key").agg(F.collect_set("digest").alias("templates")))
+    common = counts.where(F.col("n") >= min_pages).where(~running | (F.col("rests") >= min_pages) & (F.col("rests") * 2 >= F.col("n")))
+    templates = written(common.join(total, "host").where((F.col("n") >= min_share * F.col("host_pages")) | block & (F.col("n") >= many_pages))
+                        .select("host", "digest"), "host-templates")
+    held = marks.select("host", "page_key", F.explode("digests").alias("digest")).join(templates, ["host", "digest"], "left_semi")
+    lists = written(held.groupBy("page_key").agg(F.collect_set("digest").alias("templates")), "page-templates")
 
     def texts(reader):
         for batch in reader:

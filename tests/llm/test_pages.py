@@ -115,3 +115,16 @@ def test_copied_pages_count_once_and_sections_of_a_large_host_go(spark):
     got = {r.page_id: r.text for r in site_templates.extract_main_text(frame(spark, pages)).collect()}
     assert all(got[i] == "The first part The second part" for i in range(5)) and all(got[20 + i] == "Title All of the text" for i in range(5))
     assert all(got[1000 + i] == f"Text {i}" for i in range(600))
+
+
+def test_text_outside_an_article_goes_only_where_the_article_is_the_larger_part(spark):
+    assert text_of("<article><p>Teaser</p></article><div><p>The long main text</p></div>") == "Teaser The long main text"
+    assert text_of("<article><p>The long main text</p></article><div><p>Teaser</p></div>") == "The long main text"
+    assert text_of("<article><p> </p></article><p>All</p>") == "All"
+    # boxes without telling names and a bar above a teaser article, on every page of a host; one page alone on its host keeps its box
+    box = "<div class='x1'><div>Latest from the desk</div><p>Weather fair</p></div>"
+    pages = [(i, f"http://t.example/{i}", f"<body>{box}<article><p>Teaser {i}</p></article><div>{f'Main text {i} ' * 5}</div></body>") for i in range(20)]
+    pages.append((99, "http://alone.example/", f"<body>{box}<p>Words</p></body>"))
+    got = {r.page_id: r.text for r in site_templates.extract_main_text(frame(spark, pages)).collect()}
+    assert all(got[i] == f"Teaser {i} " + " ".join([f"Main text {i}"] * 5) for i in range(20))
+    assert got[99] == "Latest from the desk Weather fair Words"
