@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -67,32 +66,46 @@ def sufficient_features(importances: DataFrame, threshold: float = 95.0) -> Data
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str], cfg: Config,
-                           repeats: int = 5, key: str = KEY) -> DataFrame:
+                           repeats: int = 5, key: str = KEY, block: int = 100_000) -> DataFrame:
     """Mean and deviation over ``repeats`` of the rise of the mean absolute error
     when one feature is taken from other rows.
 
-    Rows are numbered once, in hash order. A repeat pairs position ``p`` with
-    ``(p + shift) mod n``, an equi-join on a unique number; each pair is scored
-    once per feature, with that feature taken from the partner.
+    Rows are numbered once, in hash order, so the row a few places on is any other
+    row. Repeat ``r`` takes the feature from the row ``r + 1`` places on, the first
+    rows following the last one. Blocks of numbered rows get copies of the few
+    rows that follow them, so donors come from a window over each block instead of
+    a join. Each row is scored as it is and once per repeat and feature.
     """
     features = list(features)
     numbered = number_rows(df.withColumn("_h", hash_number(F.col(key), f"permute{cfg.seed}")), ["_h", key], "_pos").drop("_h")
     n = numbered.count()
-    base = model.transform(numbered).agg(F.avg(absolute_error(cfg.target, "prediction"))).first()[0]
-    rng = random.Random(cfg.seed)
-    shifts = [(r, rng.randrange(1, n) if n > 1 else 0) for r in range(repeats)]
-    donors = numbered.select(F.col("_pos").alias("_from"), *[F.col(f"`{f}`").alias(f"_d{i}") for i, f in enumerate(features)])
-    pairs = (numbered.withColumn("_s", F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.lit(s).alias("s")) for r, s in shifts])))
-                     .withColumn("_from", (F.col("_pos") + F.col("_s.s")) % n).join(donors, "_from"))
-    each = pairs.withColumn("_f", F.explode(F.array(*[F.lit(i) for i in range(len(features))])))
-    mixed = each.withColumns({f: F.when(F.col("_f") == i, F.col(f"_d{i}")).otherwise(F.col(f"`{f}`"))
+    shifts = [1 + r % (n - 1) if n > 1 else 0 for r in range(repeats)]
+    pos = F.col("_pos")
+
+    def place(shift):
+        """Block of the row that takes from this one, and the place of this one after it."""
+        taker = pos - F.lit(shift)
+        return F.struct(F.floor(F.when(taker < 0, taker + n).otherwise(taker) / block).alias("b"),
+                        F.when(taker < 0, pos + n).otherwise(pos).alias("at"))
+
+    places = F.array_distinct(F.array(*[place(s) for s in sorted({0, *shifts})]))
+    w = Window.partitionBy("_p.b").orderBy("_p.at")
+    donor = F.struct(*[F.col(f"`{f}`").alias(f"d{i}") for i, f in enumerate(features)])
+    taken = numbered.withColumn("_p", F.explode(places)).withColumns({f"_l{r}": F.lead(donor, s).over(w) for r, s in enumerate(shifts)})
+    own = taken.where((F.col("_p.at") == pos) & (F.col("_p.b") == F.floor(pos / block)))
+    changed = list(range(len(features)))
+    each = (own.withColumn("_s", F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.col(f"_l{r}").alias("d")) for r in range(repeats)])))
+               .withColumn("_f", F.explode(F.when(F.col("_s.r") == 0, F.array(*[F.lit(i) for i in [-1, *changed]]))
+                                            .otherwise(F.array(*[F.lit(i) for i in changed])))))
+    mixed = each.withColumns({f: F.when(F.col("_f") == i, F.col(f"_s.d.d{i}")).otherwise(F.col(f"`{f}`"))
                               for i, f in enumerate(features)})
     errors = (model.transform(mixed).groupBy("_f", F.col("_s.r").alias("_r"))
-                   .agg(F.avg(absolute_error(cfg.target, "prediction")).alias("e")))
+                   .agg(F.avg(absolute_error(cfg.target, "prediction")).alias("e")))     # at most repeats x features + 1 rows
+    base = F.max(F.when(F.col("_f") == -1, F.col("e"))).over(Window.partitionBy(F.lit(0)))
     names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("_f") + 1)
-    return (errors.groupBy("_f").agg(F.avg(F.col("e") - F.lit(base)).alias("MeanImportance"),
-                                     F.stddev_pop(F.col("e") - F.lit(base)).alias("StdImportance"))
-                  .select(names.alias("Feature"), "MeanImportance", "StdImportance").orderBy("MeanImportance"))
+    rises = errors.withColumn("rise", F.col("e") - base).where("_f >= 0")
+    return (rises.groupBy("_f").agg(F.avg("rise").alias("MeanImportance"), F.stddev_pop("rise").alias("StdImportance"))
+                 .select(names.alias("Feature"), "MeanImportance", "StdImportance").orderBy("MeanImportance"))
 
 
 def individual_curves(model: PipelineModel, df: DataFrame, feature: str, points: int = 20, rows: int = 500,

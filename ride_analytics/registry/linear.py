@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ride_analytics.models import gram
+from ride_analytics.models.importance import permutation_importance
 from ride_analytics.operators import sampling as SA
 from ride_analytics.operators.metrics import metrics_by_sets
-from ride_analytics.registry.base import city, query, rounded, sql
+from ride_analytics.registry.base import city, query, rounded, sql, with_formula
+from ride_analytics.sources.star_trips import CHECK_CONFIG
 
 FEATURES = ["trip_distance", "hour"]
 # means and centred sums of (x, h, y) over some rows
@@ -63,3 +65,26 @@ def _(spark, sf):
                      for k, (a, b, c) in _MODELS.items()])
     rows = city(spark, sf).select("fare_amount", "hour", F.col("day of week").alias("weekday"), F.inline(each))
     return rounded(metrics_by_sets(rows, [["model"], ["model", "hour"], ["model", "weekday"]]))
+
+
+class FormulaModel:
+    """Stands for a fitted model; its prediction can be written in SQL."""
+
+    transform = staticmethod(with_formula)
+
+
+def _formula_error(distance: str, hour: str) -> str:
+    return f"avg(abs(a.fare_amount - (CAST(20.0 AS DOUBLE) + CAST(0.2 AS DOUBLE) * {distance} + CAST(0.15 AS DOUBLE) * {hour})))"
+
+
+@query("formula_permutation_importance", sql(
+    """SELECT v.feature AS "Feature", avg(v.e - e.base) AS "MeanImportance", stddev_pop(v.e - e.base) AS "StdImportance"
+  FROM e, LATERAL (VALUES ('trip_distance', e.distance), ('hour', e.hours), ('passenger_count', e.base)) AS v(feature, e) GROUP BY 1""",
+    f"""a AS (SELECT *, row_number() OVER (ORDER BY CAST(concat('0x', substr(md5(concat('permute{CHECK_CONFIG.seed}:', row_key)), 1, 8)) AS BIGINT), row_key) - 1 AS pos,
+    count(*) OVER () AS n FROM city)""",
+    f"""e AS (SELECT s.r, {_formula_error('a.trip_distance', 'a."hour"')} AS base, {_formula_error('d.trip_distance', 'a."hour"')} AS distance,
+    {_formula_error('a.trip_distance', 'd."hour"')} AS hours
+  FROM a CROSS JOIN (VALUES (1), (2), (3), (4), (5)) AS s(r) JOIN a AS d ON d.pos = (a.pos + s.r) % a.n GROUP BY 1)""",
+    doubles=["MeanImportance", "StdImportance"]))
+def _(spark, sf):
+    return rounded(permutation_importance(FormulaModel(), city(spark, sf), ["trip_distance", "hour", "passenger_count"], CHECK_CONFIG))
