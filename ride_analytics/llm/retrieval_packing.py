@@ -161,10 +161,11 @@ class InvertedIndex:
         self.top = term[order]
         self.n = n
 
-    def scores(self, doc: int) -> np.ndarray:
+    def scores(self, doc: int, terms: int | None = None) -> np.ndarray:
+        """Of all documents, by the document's ``terms`` heaviest terms, or by every one it shares."""
         out = np.zeros(self.n, np.float32)
-        a = self.top_begin[doc]
-        for t in self.top[a:min(a + QUERY_TERMS, self.top_begin[doc + 1])].tolist():
+        a, b = self.top_begin[doc], self.top_begin[doc + 1]
+        for t in self.top[a:b if terms is None else min(a + terms, b)].tolist():
             at = slice(self.begin[t], self.begin[t + 1])
             out[self.doc[at]] += self.weight[at]
         return out
@@ -175,7 +176,9 @@ def fill_windows(documents: list[np.ndarray], window: int) -> list[tuple[int, in
 
     The document that opens a window retrieves its unused neighbours, best
     first, and they fill it; the one that no longer fits is cut and its rest
-    opens the next window. Without a neighbour the next unused document follows.
+    opens the next window. Neighbours by the ``QUERY_TERMS`` heaviest terms come
+    first; when they are used up, those by all terms, so no document that shares
+    a term is passed over. Without a neighbour the next unused document follows.
     """
     index = InvertedIndex(documents)
     unused = np.ones(len(documents), bool)
@@ -191,7 +194,7 @@ def fill_windows(documents: list[np.ndarray], window: int) -> list[tuple[int, in
         else:
             seed, at = rest
         unused[seed] = False
-        ranked, scores = None, None
+        ranked, rounds = iter(()), [None, QUERY_TERMS]
         rest, current = None, (seed, at)
         while True:
             doc, at = current
@@ -202,10 +205,12 @@ def fill_windows(documents: list[np.ndarray], window: int) -> list[tuple[int, in
                 sequence, offset = sequence + 1, 0
                 rest = (doc, at + take) if at + take < len(documents[doc]) else None
                 break
-            if scores is None:
-                scores = index.scores(seed)
-                ranked = iter(np.argsort(-scores, kind="stable")[:np.count_nonzero(scores)].tolist())
             near = next((d for d in ranked if unused[d]), None)
+            while near is None and rounds:
+                scores = index.scores(seed, rounds.pop())
+                left = np.flatnonzero(unused & (scores > 0))
+                ranked = iter(left[np.argsort(-scores[left], kind="stable")].tolist())
+                near = next(ranked, None)
             if near is None:
                 break
             unused[near] = False
