@@ -118,6 +118,7 @@ def extended(relation: DataFrame, kept: DataFrame, keep_occurrences: bool) -> Da
         r = blocks.to_pylist()[0]
         position = np.cumsum(unpacked(r["steps"], r["n"]), dtype=np.int64)
         groups = unpacked(r["groups"], r["n"])
+        told = told.sort_by("id")      # so that first ids ascend, and their differences take little room
         number, ids = told.column("number").to_numpy(), told.column("id").to_numpy()
         place = np.full(int(max(groups.max(initial=0), number.max())) + 1, -1, np.int64)
         place[number] = np.arange(len(number))
@@ -125,7 +126,7 @@ def extended(relation: DataFrame, kept: DataFrame, keep_occurrences: bool) -> Da
         position, own = position[own >= 0], own[own >= 0]
         at = np.flatnonzero(position[1:] == position[:-1] + 1)
         pairs, group, times = np.unique(own[at] * len(ids) + own[at + 1], return_inverse=True, return_counts=True)
-        row = {"block": r["block"], "n": len(at), "n_groups": len(pairs), "steps": b"", "groups": b"", "first": packed_longs(ids[pairs // len(ids)]),
+        row = {"block": r["block"], "n": len(at), "n_groups": len(pairs), "steps": b"", "groups": b"", "first": packed_longs(np.diff(ids[pairs // len(ids)], prepend=0)),
                "second": packed_longs(ids[pairs % len(ids)]), "times": packed(times.astype(np.int32))}
         if keep_occurrences:
             row |= {"steps": packed(np.diff(position[at], prepend=0).astype(np.int32)), "groups": packed(group.astype(np.int32))}
@@ -145,7 +146,7 @@ def pair_groups(relation: DataFrame) -> DataFrame:
             for r in batch.to_pylist():
                 n = r["n_groups"]
                 if n:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, r["block"])), pa.array(np.arange(n)), pa.array(unpacked_longs(r["first"], n)),
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, r["block"])), pa.array(np.arange(n)), pa.array(np.cumsum(unpacked_longs(r["first"], n))),
                                                       pa.array(unpacked_longs(r["second"], n))], ["block", "number", "first", "second"])
 
     return relation.select("block", "n_groups", "first", "second").mapInArrow(run, "block long, number long, first long, second long")
@@ -188,7 +189,7 @@ def frequent_pairs(relation: DataFrame, support: int, bucket_pairs: int = BUCKET
             for r in batch.to_pylist():
                 n = r["n_groups"]
                 if n:
-                    parts.append((unpacked_longs(r["first"], n), unpacked_longs(r["second"], n), unpacked(r["times"], n).astype(np.int64)))
+                    parts.append((np.cumsum(unpacked_longs(r["first"], n)), unpacked_longs(r["second"], n), unpacked(r["times"], n).astype(np.int64)))
                     size += n
                 if size >= MERGED_PAIRS:
                     yield slices(parts)

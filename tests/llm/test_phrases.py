@@ -56,3 +56,20 @@ def test_frequent_groups_too_many_to_broadcast(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert phrase_mining.mine_phrases(frame(spark, [])).count() == 0
+
+
+def test_first_ids_ascend_in_their_blocks(spark):
+    """op11, disk: the first ids of a block's groups are kept as differences that are never negative, and read back whole."""
+    draw = random.Random(4)
+    rows = [("en", " ".join(draw.choice("abcdefgh") for _ in range(50))) for _ in range(40)]
+    relation = phrase_mining.word_relation(frame(spark, rows), 500).cache()
+    ids = spark.createDataFrame([(w, 90 - 7 * i) for i, w in enumerate("abcdefgh")], "word string, id long")
+    kept = phrase_mining.word_groups(relation).join(ids, "word").select("block", "number", "id")
+    out = phrase_mining.extended(relation, kept, False).cache()
+    steps = [phrase_mining.unpacked_longs(r["first"], r["n_groups"]) for r in out.collect()]
+    assert len(steps) > 1 and all((s >= 0).all() and len(s) > 8 for s in steps)
+    known = dict(map(tuple, ids.collect()))
+    want = Counter((known[a], known[b]) for _, t in rows for a, b in zip(t.split(), t.split()[1:]))
+    assert {(r["first"], r["second"]) for r in phrase_mining.pair_groups(out).collect()} == set(want)
+    got = {(r["first"], r["second"]): r["f"] for r in phrase_mining.frequent_pairs(out, 1).collect()}
+    assert got == want
