@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 import zlib
 
 import numpy as np
@@ -12,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ride_analytics.llm.common import batches, mix, word_hashes, words
+from ride_analytics.llm.common import batches, mix, row_chunks, word_hashes, words
 from ride_analytics.sources.storage import written
 
 WINDOW = 2048
@@ -21,20 +20,55 @@ SHARD_TOKENS = 1 << 20   # about so many ids share one inverted index
 QUERY_TERMS = 12
 K1, B = 1.2, 0.75
 CHUNK_BYTES = 4 << 20
-CACHE_BYTES = 64 << 20   # of encoded pieces that a worker keeps, by their runs and by the hashes of their words
-ENTRY_BYTES = 240        # of an entry of either, without what its texts hold
-
-# one word of Latin letters, which the tokenizer keeps together, and punctuation behind it, which it keeps apart
-PLAIN = re.compile(r"([a-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*|()\"+=/]*)")
+SLICE_BYTES = 1 << 18     # of a chunk, whose words are cut and hashed at a time
+CACHE_BYTES = 64 << 20   # of ids that a worker keeps, by the hashes of their runs
+ENTRY_BYTES = 160        # of an entry, without its ids
+
+# letters of Latin words, which the tokenizer keeps together, and punctuation behind them, which it keeps apart
+KIND = np.zeros(256, np.int64)     # a letter counts 1, a punctuation mark 2**32
+KIND[ord("a"):ord("z") + 1] = 1
+KIND[list(b".,;:!?#$%&*|()\"+=/")] = 1 << 32
+LATIN = np.zeros(256, bool)        # second bytes of À-Ö, Ø-ö and ø-ÿ, after 0xC3
+LATIN[0x80:0xC0] = True
+LATIN[[0x97, 0xB7]] = False
+
+
+def letters_end(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the letters of each word end, and whether the word is Latin letters with nothing but punctuation behind them."""
+    kind = KIND[low]
+    head = np.flatnonzero(low[:-1] == 0xC3)
+    head = head[LATIN[low[head + 1]]]
+    kind[head] = kind[head + 1] = 1
+    count = np.zeros(len(low) + 1, np.int64)
+    np.cumsum(kind, out=count[1:])
+    before, own = count[starts], count[ends] - count[starts]
+    letters = own & 0xFFFFFFFF
+    plain = (letters > 0) & (letters + (own >> 32) == ends - starts) & (count[starts + letters] - before == letters)
+    return np.where(plain, starts + letters, ends), plain
+
+
+def word_runs(raw: np.ndarray, offsets: np.ndarray, at: int) -> tuple[np.ndarray, ...]:
+    """Lower-cased bytes and hashes of the words; of the runs they are cut into, hashes, where they begin and end (counted from ``at``
+    places before the bytes), and which are words kept whole; words and runs of each row."""
+    low, starts, ends, first = words(raw, offsets)
+    middle, plain = letters_end(low, starts, ends)
+    two = middle < ends
+    place = np.concatenate(([0], np.cumsum(1 + two)))      # of each word's first run among the runs
+    begins, stops, apart = np.empty(place[-1], np.int64), np.empty(place[-1], np.int64), np.zeros(place[-1], bool)
+    begins[place[:-1]], stops[place[:-1]], apart[place[:-1]] = starts, middle, ~plain
+    begins[place[:-1][two] + 1], stops[place[:-1][two] + 1] = middle[two], ends[two]
+    hashes = word_hashes(low, np.concatenate((starts, begins)), np.concatenate((ends, stops)))
+    return low, hashes[:len(starts)], hashes[len(starts):], begins + at, stops + at, apart, np.diff(first), np.diff(place[first])
 
 
 class WordTokenizer:
-    """Ids of whole texts from ids of their words, for a tokenizer that never joins text across white space.
+    """Ids of whole texts from ids of their runs, for a tokenizer that never joins text across white space.
 
-    Each distinct run of letters is encoded once per worker while it is in the
-    cache, many in one call; the last id of a run carries the end-of-word mark,
-    which tells the runs of a call apart. Texts that hold the opening of a
-    special token are encoded whole.
+    A word of Latin letters and punctuation behind them is two runs, any other
+    is one. Each distinct run is encoded once per worker while it is in the
+    cache. Letters and punctuation go many in one call; the last id of such a
+    run carries the end-of-word mark, which tells the runs of a call apart.
+    Texts that hold the opening of a special token are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -43,22 +77,20 @@ class WordTokenizer:
         self.model = Tokenizer.from_file(path)
         size = self.model.get_vocab_size(with_added_tokens=True)
         self.ends = np.array([(self.model.id_to_token(k) or "").endswith("</w>") for k in range(size)])
-        self.runs: dict[str, bytes] = {"": b""}
-        self.words: dict[int, bytes] = {}
+        self.runs: dict[int, bytes] = {}
         self.held = 0
 
-    def _learn(self, runs: list[str]) -> None:
-        self.held += sum(map(len, runs)) + ENTRY_BYTES * len(runs)
+    def _learn(self, keys: list[int], runs: list[str]) -> None:
         for a in range(0, len(runs), 2000):
             part = runs[a:a + 2000]
             ids = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) != len(part):
-                self.runs.update((r, self._whole(r)) for r in part)
+                self.runs.update((k, self._whole(r)) for k, r in zip(keys[a:a + 2000], part))
                 continue
             data, first = ids.tobytes(), 0
-            for run, stop in zip(part, stops.tolist()):
-                self.runs[run] = data[4 * first:4 * stop]
+            for key, stop in zip(keys[a:a + 2000], (4 * stops).tolist()):
+                self.runs[key] = data[first:stop]
                 first = stop
 
     def _whole(self, text: str) -> bytes:
@@ -66,31 +98,36 @@ class WordTokenizer:
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all rows end to end, where each row's begin, and hashes of the words with where each row's begin."""
-        low, starts, ends, first = words(raw, offsets)
-        hashes = word_hashes(low, starts, ends)
-        names, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        known = self.words
-        pieces = [known.get(h) for h in names.tolist()]
-        unknown = [k for k, p in enumerate(pieces) if p is None]
+        parts = [word_runs(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], int(offsets[a])) for a, b in row_chunks(offsets, SLICE_BYTES)]
+        low, hashes, keys, begins, stops, apart, n_words, n_runs = (np.concatenate(x) for x in zip(*parts))
+        first = np.concatenate(([0], np.cumsum(n_words)))
+        coded = pa.array(keys.view(np.int64)).dictionary_encode()
+        names, inverse = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        known = self.runs
+        pieces = list(map(known.get, names))
+        unknown = np.array([k for k, p in enumerate(pieces) if p is None], np.int64)
+        where = np.empty(len(names), np.int64)
+        where[inverse] = np.arange(len(inverse))               # any place of a run will do
+        where = where[unknown]
         data = low.tobytes()
-        found = [data[a:b].decode("utf-8", "replace") for a, b in zip(starts[where[unknown]].tolist(), ends[where[unknown]].tolist())]
-        plain = [m.groups() if (m := PLAIN.fullmatch(w)) else None for w in found]
-        runs = self.runs
-        self._learn(list({g for m in plain if m for g in m if g not in runs}))
-        runs = self.runs
-        self.held += ENTRY_BYTES * len(found)
-        for k, h, w, m in zip(unknown, names[unknown].tolist(), found, plain):
-            pieces[k] = known[h] = runs[m[0]] + runs[m[1]] if m and m[0] in runs and m[1] in runs else self._whole(w)
+        found = [data[a:b].decode("utf-8", "replace") for a, b in zip(begins[where].tolist(), stops[where].tolist())]
+        own = [names[k] for k in unknown.tolist()]
+        whole = apart[where].tolist()
+        self._learn([k for k, w in zip(own, whole) if not w], [r for r, w in zip(found, whole) if not w])
+        known.update((k, self._whole(r)) for k, r, w in zip(own, found, whole) if w)
+        for k, name in zip(unknown.tolist(), own):
+            pieces[k] = known[name]
+        self.held += ENTRY_BYTES * len(own) + sum(len(known[k]) for k in own)
         if self.held > CACHE_BYTES:
-            self.runs, self.words, self.held = {"": b""}, {}, 0
-        size = np.array([len(p) for p in pieces], np.int64) >> 2
+            self.runs, self.held = {}, 0
+        size = np.fromiter(map(len, pieces), np.int32, len(pieces)) >> 2
         flat = np.frombuffer(b"".join(pieces), np.uint32)
         begin = np.concatenate(([0], np.cumsum(size)))
         number = size[inverse]
-        total = np.concatenate(([0], np.cumsum(number)))
+        total = np.concatenate(([0], np.cumsum(number, dtype=np.int64)))
         ids = flat[np.repeat((begin[:-1][inverse] - total[:-1]).astype(np.int32), number) + np.arange(total[-1], dtype=np.int32)]
-        bounds = total[first]
-        if b"<|" in raw.tobytes():
+        bounds = total[np.concatenate(([0], np.cumsum(n_runs)))]
+        if b"<|" in data:
             rows = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
             for k in range(len(rows)):
                 own = raw[offsets[k]:offsets[k + 1]].tobytes()
@@ -123,14 +160,19 @@ def encoded_pieces(docs: DataFrame, path: str, window: int, end_id: int) -> Data
         model = tokenizer(path)
         for part, raw, offsets in batches(reader, "text", CHUNK_BYTES):
             ids, bounds, hashes, first = model.encode(raw, offsets)
+            data, stop, bounds = ids.astype("<u4").tobytes(), int(end_id).to_bytes(4, "little"), (4 * bounds).tolist()
+            least = np.zeros(len(first) - 1, np.uint64)
+            filled = np.flatnonzero(np.diff(first))
+            if len(filled):
+                least[filled] = np.minimum.reduceat(mix(hashes), first[filled]) >> np.uint64(1)
             out = []
-            for k, doc in enumerate(part.column("doc_id").to_pylist()):
-                own = np.append(ids[bounds[k]:bounds[k + 1]], np.uint32(end_id))
-                n, mine = len(own), hashes[first[k]:first[k + 1]]
-                route = int(mix(mine).min() >> np.uint64(1)) if len(mine) else 0
-                for a in range(0, n, window):
-                    piece = own[a:a + window]
-                    out.append((doc, a, len(piece), crc(piece), n, None if len(piece) == window else piece.astype("<u4").tobytes(), route))
+            for doc, a, b, route in zip(part.column("doc_id").to_pylist(), bounds[:-1], bounds[1:], least.tolist()):
+                own = data[a:b] + stop
+                n = len(own) >> 2
+                for at in range(0, n, window):
+                    piece = own[4 * at:4 * (at + window)]
+                    size = len(piece) >> 2
+                    out.append((doc, at, size, zlib.crc32(piece), n, None if size == window else piece, route))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "route"]

@@ -102,3 +102,25 @@ def test_neighbours_by_any_shared_term_follow():
     pieces = retrieval_packing.fill_windows(documents, len(opening) + len(common) + 6)
     assert [p[0] for p in pieces if p[3] == 0][-1] == 2
     assert sorted(p[0] for p in pieces) == list(range(len(documents)))
+
+
+def test_runs_are_learned_once_and_equal_the_library():
+    """op3: a run of letters is encoded once whatever punctuation follows it, and the ids are those of the library."""
+    from tokenizers import Tokenizer
+    from ride_analytics.llm.common import batches
+    import pyarrow as pa
+    model, library = retrieval_packing.WordTokenizer(WORDS), Tokenizer.from_file(WORDS)
+    texts = ["wordy wordy, wordy. wordy!? (wordy) wordy.wordy Wordy; wordy", None, "", "× a× ×a a÷, Ã ã, Éa. éÀ?! ÿ... Ć ć,", "a,,b a,. ... .a", "x" * 5000, " \t"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    for _, raw, offsets in batches([batch], "text", 1 << 20):
+        ids, bounds, _, _ = model.encode(raw, offsets)
+    own = [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+    assert own == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    learned = []
+    known = retrieval_packing.WordTokenizer(WORDS)
+    learn = known._learn
+    known._learn = lambda keys, runs: (learned.extend(runs), learn(keys, runs))
+    for text in ("wordy, wordy wordy.", "wordy!? wordy;"):
+        for _, raw, offsets in batches([pa.RecordBatch.from_arrays([pa.array([text])], ["text"])], "text", 1 << 20):
+            known.encode(raw, offsets)
+    assert sorted(learned) == sorted(["wordy", ",", ".", "!?", ";"]) and len(known.runs) == 5
