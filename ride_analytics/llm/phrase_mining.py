@@ -54,11 +54,15 @@ def unpacked(blob: bytes, n: int) -> np.ndarray:
 
 
 def packed_longs(x: np.ndarray) -> bytes:
-    return packed(x.astype(np.int64))
+    """Byte by byte, all lowest bytes first: the upper ones repeat and take little room."""
+    return packed(np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).ravel())
 
 
 def unpacked_longs(blob: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(blob, 8 * n, codec="zstd", asbytes=True), np.int64) if n else np.zeros(0, np.int64)
+    if not n:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(pa.decompress(blob, 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 
 def word_relation(docs: DataFrame, block_bytes: int) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from ride_analytics.llm import phrase_mining
@@ -73,3 +74,15 @@ def test_first_ids_ascend_in_their_blocks(spark):
     assert {(r["first"], r["second"]) for r in phrase_mining.pair_groups(out).collect()} == set(want)
     got = {(r["first"], r["second"]): r["f"] for r in phrase_mining.frequent_pairs(out, 1).collect()}
     assert got == want
+
+
+def test_ids_of_groups_travel_byte_by_byte():
+    """op11: numbers come back as they were, and ids of many partitions take less room than eight bytes in a row each."""
+    import pyarrow as pa
+    from ride_analytics.llm.phrase_mining import packed_longs, unpacked_longs
+    draw = np.random.default_rng(1)
+    ids = np.concatenate([(np.int64(k) << 33) + np.arange(3000) for k in range(20)])[np.minimum(draw.zipf(1.2, 50_000), 59_999)]
+    for numbers in (ids, np.array([-1, 0, 2**62, -2**63, 5]), np.zeros(0, np.int64)):
+        blob = packed_longs(numbers)
+        assert unpacked_longs(blob, len(numbers)).tolist() == numbers.tolist()
+    assert len(packed_longs(ids)) < 0.85 * len(pa.compress(ids.tobytes(), codec="zstd", asbytes=True))
