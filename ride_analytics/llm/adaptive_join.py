@@ -23,6 +23,7 @@ BUCKET_TOKENS = 1_000_000  # tokens counted at a time
 GROUP = 256                # documents of a token that one task compares at a time
 PIVOT_ROUNDS = 3
 MOST_MARKS = 96            # prefix tokens that travel with each posting; a longer prefix would cost their square
+COUNT_BITS = 40            # of a token's hash by which documents are counted: what travels is short, and a count is never too small
 CHECK_COST = 1 / 16        # of comparing one shingle of a candidate, against reading one posting
 
 
@@ -91,18 +92,21 @@ def unpacked_tokens(blob: bytes, n: int) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(raw.T).view(U64).ravel(), dtype=U64)
 
 
-def shared_tokens(blocks: DataFrame, total: int, bucket_tokens: int) -> DataFrame:
+def shared_tokens(blocks: DataFrame, total: int, bucket_tokens: int, bits: int = COUNT_BITS) -> DataFrame:
     """block, n, tokens, counts (packed): the tokens of each block that several documents of the corpus hold, with how many.
 
+    Tokens stand for their upper ``bits`` here. Two that agree in these are counted together: a token of one document
+    may pass for a shared one, never the reverse, and each document sees the same count.
+
     Blocks cut their sorted tokens into buckets by range; the owner of a bucket counts them and answers each block.
     """
     buckets = max(1, -(-int(total) // bucket_tokens))
-    edges = (np.arange(1, buckets, dtype=object) * 2**64 // buckets).astype(np.uint64)
+    edges = (np.arange(1, buckets, dtype=object) * 2**bits // buckets).astype(np.uint64)
 
     def slices(reader):
         for batch in reader:
             for r, sets in rows_of(batch):
-                tokens, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, U64), np.zeros(0, np.int64))
+                tokens, counts = np.unique(np.concatenate(sets) >> U64(64 - bits), return_counts=True) if sets else (np.zeros(0, U64), np.zeros(0, np.int64))
                 bounds = np.concatenate(([0], np.searchsorted(tokens, edges), [len(tokens)]))
                 own = np.flatnonzero(np.diff(bounds))
                 blobs = [(packed_tokens(tokens[bounds[k]:bounds[k + 1]]), pa.compress(counts[bounds[k]:bounds[k + 1]].astype(np.uint32).tobytes(), codec="zstd", asbytes=True)) for k in own.tolist()]
@@ -165,10 +169,10 @@ def marks(tokens: np.ndarray) -> bytes:
     return (short << np.uint32(8) | np.minimum(again, 255).astype(np.uint32)).tobytes()
 
 
-def postings(blocks: DataFrame, heads: DataFrame, shared: DataFrame, percent: int, most: int) -> DataFrame:
+def postings(blocks: DataFrame, heads: DataFrame, shared: DataFrame, percent: int, most: int, bits: int = COUNT_BITS) -> DataFrame:
     """Postings (token, uid, n, wanted, marks) of the heads' prefixes, and their sets (uid, n, whole; token null).
 
-    Tokens are ordered by their documents, then by value. Tokens of one document
+    Tokens are ordered by their documents, counted by their upper ``bits``, then by value. Tokens of one document
     lead nowhere; a head whose shortest prefix holds no others has no partner and no row.
     """
 
@@ -184,8 +188,9 @@ def postings(blocks: DataFrame, heads: DataFrame, shared: DataFrame, percent: in
             for head in r["heads"]:
                 own = sets[head["row"]]
                 n = len(own)
-                place = np.searchsorted(tokens[:-1], own)
-                df = np.where(tokens[place] == own, counts[place], 1)
+                upper = own >> U64(64 - bits)
+                place = np.searchsorted(tokens[:-1], upper)
+                df = np.where(tokens[place] == upper, counts[place], 1)
                 alone, prefix = int((df == 1).sum()), n - least_overlap(n, percent) + 1
                 if alone >= prefix:
                     continue
@@ -306,7 +311,8 @@ def cross_parts(members: DataFrame, key: str, group: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, most_shared: int = MOST_SHARED,
-                       block_bytes: int = BLOCK_BYTES, bucket_tokens: int = BUCKET_TOKENS, group: int = GROUP, rounds: int = PIVOT_ROUNDS) -> DataFrame:
+                       block_bytes: int = BLOCK_BYTES, bucket_tokens: int = BUCKET_TOKENS, group: int = GROUP, rounds: int = PIVOT_ROUNDS,
+                       count_bits: int = COUNT_BITS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     Documents are sets of distinct four-word shingles of the text with A-Z
@@ -338,8 +344,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     heads = members.groupBy("set_id").agg(F.min("doc_id").alias("head"), F.min(F.struct("block", "row")).alias("at"))
     heads = written(heads.select("set_id", "head", "at.block", "at.row").withColumn("uid", F.monotonically_increasing_id()), "join-heads")
     total = sketch.agg(F.sum("n_shingles")).first()[0] or 0
-    shared = shared_tokens(blocks, total, bucket_tokens)
-    found = written(postings(blocks, heads.select("block", "row", "uid"), shared, percent, most_shared), "join-postings")
+    shared = shared_tokens(blocks, total, bucket_tokens, count_bits)
+    found = written(postings(blocks, heads.select("block", "row", "uid"), shared, percent, most_shared, count_bits), "join-postings")
     sets = found.where("whole IS NOT NULL").select("uid", "n", "whole")
     lists = found.where("token IS NOT NULL").select("token", "uid", "n", "wanted", "marks")
     links, labels = None, None

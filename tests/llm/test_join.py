@@ -65,6 +65,22 @@ def test_components_equal_all_pairs(spark, percent, group, bucket, rounds, block
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, percent)
 
 
+@pytest.mark.parametrize("bits", [3, 12, 40, 64])
+def test_counts_by_upper_bits_lose_no_link(spark, bits):
+    """op12's disk: only the upper bits of a token travel to be counted; tokens that agree in them pass for more frequent ones."""
+    rows = documents(5)
+    got = adaptive_join.jaccard_components(frame(spark, rows), count_bits=bits, bucket_tokens=500, block_bytes=5000)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 85)
+
+
+def test_counted_tokens_travel_short(spark):
+    draw = random.Random(3)
+    rows = [(k, " ".join(str(draw.randrange(10**6)) for _ in range(4000))) for k in range(5)]
+    blocks = adaptive_join.pack_texts(frame(spark, rows + rows).select("doc_id", "text"), 4 << 20)
+    r = adaptive_join.shared_tokens(blocks, 40_000, 1_000_000).selectExpr("sum(n) AS n", "sum(length(tokens)) AS bytes").first()
+    assert r.n > 15_000 and r.bytes < 5 * r.n      # 7 bytes each as whole hashes
+
+
 def test_near_copies_are_one_component_without_their_pairs(spark, monkeypatch):
     base = [f"w{k}" for k in range(200)]
     rows = [(k, " ".join(base[:k % 197] + [f"own{k}"] + base[k % 197 + 1:])) for k in range(600)]
