@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ride_analytics.config import Config
-from ride_analytics.models.importance import permutation_importance
+from ride_analytics.models import estimators as E
+from ride_analytics.models.importance import linear_importances, permutation_importance
+from ride_analytics.sources.storage import shared_dir
 
 CFG = Config()
 
@@ -52,3 +54,17 @@ def test_no_join_of_rows(spark):
     df = spark.createDataFrame(rows, f"row_key string, a double, b double, `{CFG.target}` double")
     plan = permutation_importance(Formula(), df, ["a", "b"], CFG)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1      # partition offsets of the numbering, broadcast
+
+
+def test_linear_importances_are_those_of_all_rows(spark):
+    shared_dir(spark)
+    a, b, c = CFG.features
+    assert CFG.log_features and not CFG.cyclic_features
+    rows = [(f"k{i}", float(i % 13), float(i * i % 29), float(i % 7) if i % 90 else 400.0, float(i % 13 + i % 5)) for i in range(1800)]
+    df = spark.createDataFrame(rows, f"row_key string, `{a}` double, `{b}` double, `{c}` double, `{CFG.target}` double").repartition(3)
+    model = E.linear_model(CFG).fit(df)
+    vectors = [r["features"].toArray() for r in model.transform(df).select("features").collect()]
+    means = [sum(v[i] for v in vectors) / len(vectors) for i in range(3)]
+    shares = [sum(abs(w * (v[i] - means[i])) for v in vectors) / len(vectors) for i, w in enumerate(model.stages[-1].coefficients.toArray())]
+    got = {r["Feature"]: r["Importance (%)"] for r in linear_importances(model, df, CFG).collect()}
+    assert got == pytest.approx({n: 100 * s / sum(shares) for n, s in zip(E.feature_names(CFG), shares)}, rel=1e-9)
