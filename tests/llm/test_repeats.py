@@ -183,6 +183,52 @@ def test_hits_are_those_of_all_windows(spark, cosine):
     assert len(want) > 20 and {h[:2] for h in search.hits(hashes, first)} == want
 
 
+def test_space_is_fitted_on_all_documents(spark):
+    # each word of the documents is in two of them, far apart; a part of the documents misses most such pairs
+    rows = frame(spark, [(i, f"both{i % 5000} and some more") for i in range(10_000)]).select("doc_id", "text")
+    benchmark = spark.createDataFrame([(0, "an item of a few words")], "item_id long, text string")
+    search, = latent_decontamination.fit_searches(rows, benchmark)
+    words = np.concatenate([latent_decontamination.text_words(f"both{k}") for k in range(5000)])
+    number = search.vocabulary.numbers(words)
+    assert (number >= 0).all()
+    assert (search.squares[number] == search.squares[number[0]]).all()
+
+
+def test_latent_space_is_that_of_all_passages(spark):
+    draw = random.Random(25)
+    names = [f"w{k}" for k in range(400)]
+    word = lambda: names[int(400 ** draw.random()) - 1]
+    texts = ["", *(" ".join(word() for _ in range(draw.randrange(1, 200))) for _ in range(150)), "...", "only unknown words"]
+    items = [latent_decontamination.Item(k, latent_decontamination.text_words(" ".join(word() for _ in range(20))), None) for k in range(6)]
+    known = latent_decontamination.Vocabulary(np.concatenate([latent_decontamination.text_words(w) for w in names]))
+    vocabulary = latent_decontamination.Vocabulary(known.hashes[::2])
+    items = [latent_decontamination.Item(i.item_id, i.words[vocabulary.numbers(i.words) >= 0], None) for i in items]
+    size = len(vocabulary.hashes)
+    idf, counts = np.linspace(0.5, 3, size), np.arange(size)
+    # the rows one by one
+    matrix = []
+    for own, length, weight in [*((latent_decontamination.text_words(t), 64, 1.0) for t in texts), *((i.words, 1000, latent_decontamination.ITEM_WEIGHT) for i in items)]:
+        for k in range(0, len(own), length):
+            number = vocabulary.numbers(own[k:k + length])
+            row = np.bincount(number[number >= 0], minlength=size) * idf
+            if row.any():
+                matrix.append(weight * row / np.linalg.norm(row))
+    matrix = np.array(matrix)
+    rows = frame(spark, list(enumerate(texts))).select("doc_id", "text").repartition(5)
+    passages = latent_decontamination.stored_passages(rows, known)
+    local = vocabulary.numbers(known.hashes)
+    space = latent_decontamination.latent_space(passages, local, items, vocabulary, counts, idf, 12)
+    assert np.allclose(space.T @ space, np.eye(12), atol=1e-4)
+    best = (np.linalg.svd(matrix, compute_uv=False)[:12] ** 2).sum()
+    assert 0.995 * best < (np.linalg.norm(matrix @ space) ** 2) < 1.0001 * best
+    basis = np.vstack([space, np.zeros((1, 12), np.float32)])
+    blocks = [latent_decontamination.passage_blocks(local[np.frombuffer(r[0], np.int32)], np.frombuffer(r[1], np.uint8), np.frombuffer(r[2], np.int32), np.append(idf, 0.0))
+              for r in passages.collect()]
+    rest = matrix[:-len(items)]
+    total, gram = latent_decontamination.multiplied((b for bs in blocks for b in bs), basis, np.arange(0, size, 3))
+    assert np.allclose(total[:-1], rest.T @ rest @ space, atol=1e-4) and np.allclose(gram, space.T @ rest.T @ rest @ space, atol=1e-4)
+
+
 def test_common_subsequence():
     def table(a, b):
         row = [0] * (len(b) + 1)
